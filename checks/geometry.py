@@ -83,9 +83,9 @@ _BP = (
     "e z", "SELECT k AS zone_id, count(*) FILTER (WHERE t) AS intersecting, count(*) FILTER (WHERE c) AS contained, "
     "count(*) FILTER (WHERE t AND of_zone = k) AS own FROM h GROUP BY k",
     bp=_BP,
-    h=f"SELECT of_zone, bp.i, kind, e.k, {touches('any_value(bp.x)', 'any_value(bp.y)')} AS t, "
-    f"{contains('any_value(bp.x)', 'any_value(bp.y)')} AS c FROM bp JOIN z ON bp.x BETWEEN xmin AND xmax AND bp.y BETWEEN ymin AND ymax "
-    "JOIN e ON e.k = z.k GROUP BY of_zone, bp.i, kind, e.k"))
+    h=f"SELECT of_zone, bp.i, kind, e.k, {touches('bp.x', 'bp.y')} AS t, "
+    f"{contains('bp.x', 'bp.y')} AS c FROM bp JOIN z ON bp.x BETWEEN xmin AND xmax AND bp.y BETWEEN ymin AND ymax "
+    "JOIN e ON e.k = z.k GROUP BY of_zone, bp.i, kind, e.k, bp.x, bp.y"))
 def boundary_points(spark, sf):
     pts, zones = V.boundary_points(spark, sf), V.zones(spark, sf).select("zone_id", "rings")
     touch = J.point_in_zone(pts, zones, V.CELL, boundary=True)
@@ -341,8 +341,8 @@ def grid_subdivide(spark, sf):
     "WHEN a % 5 = 4 THEN concat('S_FLD_HAZ_AR is in ', chr(39), 'EPSG:4326', chr(39), ', expected EPSG:4269') END AS error, "
     "CASE WHEN a % 7 = 6 THEN NULL WHEN a % 2 = 0 THEN 'cpg:UTF-8 zip:cache' ELSE 'latin1-fallback zip:cache' END AS encoding, "
     "CASE WHEN a % 7 <> 6 THEN count(*) ELSE 0 END AS rows, "
-    "CASE WHEN a % 7 <> 6 THEN sum(area) END AS area, CASE WHEN a % 7 <> 6 THEN CAST(sum(k) AS BIGINT) END AS keys, "
-    "CASE WHEN a % 7 <> 6 THEN count(DISTINCT county) END AS counties "
+    "CASE WHEN a % 7 <> 6 THEN sum(area) END AS area, CASE WHEN a % 7 <> 6 THEN CAST(sum(k) AS BIGINT) ELSE 0 END AS keys, "
+    "CASE WHEN a % 7 <> 6 THEN count(DISTINCT county) ELSE 0 END AS counties "
     "FROM (SELECT *, k // 25 AS a FROM za JOIN zk USING (k)) GROUP BY a"))
 def archive_ingest(spark, sf):
     from checks.deliveries import archives
@@ -355,6 +355,6 @@ def archive_ingest(spark, sf):
     ).agg(
         F.count("rings").alias("rows"),
         F.sum(R.area(ring_column())).alias("area"),
-        F.sum(F.col("FLD_AR_ID").cast("bigint")).alias("keys"),
-        F.nullif(F.count_distinct("COUNTY"), F.lit(0)).alias("counties"),
+        F.coalesce(F.sum(F.col("FLD_AR_ID").cast("bigint")), F.lit(0)).alias("keys"),
+        F.count_distinct("COUNTY").alias("counties"),
     )

@@ -81,7 +81,7 @@ def batch_lookup(spark, sf):
 
 @query("j3_single_lookup", with_(
     "z e zk", "SELECT k AS zone_id, state, county FROM zk JOIN (SELECT e.k FROM q JOIN z ON qx BETWEEN xmin AND xmax AND qy BETWEEN ymin AND ymax "
-    f"JOIN e ON e.k = z.k GROUP BY e.k HAVING {touches('any_value(qx)', 'any_value(qy)')}) USING (k)",
+    f"JOIN e ON e.k = z.k GROUP BY e.k, qx, qy HAVING {touches('qx', 'qy')}) USING (k)",
     q=f"SELECT CAST((m * 7919) % {V.SIDE} AS DOUBLE) AS qx, CAST((m * 104729) % {V.SIDE} AS DOUBLE) AS qy FROM (SELECT max(p_partkey) AS m FROM part)"))
 def single_lookup(spark, sf):
     """Zones at the centre of the newest zone."""
@@ -118,9 +118,7 @@ def viewport_features(spark, sf):
 
 @query("g8_envelope_hits", with_(
     "z e b", "SELECT c_custkey, z.k AS zone_id FROM b JOIN z ON xmin <= bx1 AND xmax >= bx0 AND ymin <= by1 AND ymax >= by0 "
-    f"JOIN e ON e.k = z.k GROUP BY c_custkey, z.k HAVING {box_meets('any_value(bx0)', 'any_value(by0)', 'any_value(bx1)', 'any_value(by1)')}"
-    .replace("any_value(bx0)", "bx0").replace("any_value(by0)", "by0").replace("any_value(bx1)", "bx1").replace("any_value(by1)", "by1")
-    .replace("GROUP BY c_custkey, z.k", "GROUP BY c_custkey, z.k, bx0, by0, bx1, by1")))
+    f"JOIN e ON e.k = z.k GROUP BY c_custkey, z.k, bx0, by0, bx1, by1 HAVING {box_meets('bx0', 'by0', 'bx1', 'by1')}"))
 def envelope_hits(spark, sf):
     zones = V.zones(spark, sf).select("zone_id", "rings")
     return J.zones_in_boxes(V.boxes(spark, sf), zones, V.CELL).select("c_custkey", "zone_id")

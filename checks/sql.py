@@ -104,7 +104,7 @@ CTES = {
     "p": f"SELECT o_orderkey, (o_orderkey * 48271) % {V.SIDE} + CAST(0.5 AS DOUBLE) AS x, "
     f"(o_orderkey * 69621) % {V.SIDE} + CAST(0.25 AS DOUBLE) AS y FROM orders",
     "hits": "SELECT o_orderkey, k FROM p JOIN z ON x BETWEEN xmin AND xmax AND y BETWEEN ymin AND ymax "
-    f"JOIN e USING (k) GROUP BY o_orderkey, k HAVING {touches('any_value(x)', 'any_value(y)')}",
+    f"JOIN e USING (k) GROUP BY o_orderkey, k, x, y HAVING {touches('x', 'y')}",
     "b": f"SELECT c_custkey, CAST(x AS DOUBLE) AS bx0, CAST(y AS DOUBLE) AS by0, "
     "CAST(x + s AS DOUBLE) AS bx1, CAST(y + s AS DOUBLE) AS by1 FROM "
     f"(SELECT c_custkey, (c_custkey * 613) % {V.SIDE} AS x, (c_custkey * 977) % {V.SIDE} AS y, "
@@ -113,7 +113,7 @@ CTES = {
     "FROM (SELECT *, unnest(range(CAST(floor(xmin / 512) AS BIGINT), CAST(floor(xmax / 512) AS BIGINT) + 1)) AS ci FROM z)",
     "zc": "SELECT k, ci, cj FROM (SELECT k, ci, cj, x1, y1, x2, y2, ci * 512.0::DOUBLE AS qx0, cj * 512.0::DOUBLE AS qy0, "
     "(ci + 1) * 512.0::DOUBLE AS qx1, (cj + 1) * 512.0::DOUBLE AS qy1 FROM cand JOIN e USING (k)) "
-    f"GROUP BY k, ci, cj HAVING {box_meets('qx0', 'qy0', 'qx1', 'qy1')}",
+    f"GROUP BY k, ci, cj, qx0, qy0, qx1, qy1 HAVING {box_meets('qx0', 'qy0', 'qx1', 'qy1')}",
     "bronze": _bronze(),
     "silver0": "SELECT k, state, county, fema_update_date, CAST(file_row_number AS INT) AS zone_id, "
     "FLD_AR_ID AS source_feature_id, DFIRM_ID AS dfirm_id, upper(trim(FLD_ZONE)) AS flood_zone, "

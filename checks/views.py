@@ -92,20 +92,30 @@ def star_ring():
 
 def fine_ring(steps: int = 64):
     """The star with every edge cut into equal steps: same shape, ``8 * steps`` vertices."""
-    ring = F.col("ring8")
+    x = [((F.col("k") * 7919) % SIDE + DX[i] * _m(i)).cast("double") for i in range(8)]
+    y = [((F.col("k") * 104729) % SIDE + DY[i] * _m(i)).cast("double") for i in range(8)]
+    sides = F.array(
+        *[
+            F.struct(
+                x[i].alias("x1"), y[i].alias("y1"),
+                x[(i + 1) % 8].alias("x2"), y[(i + 1) % 8].alias("y2"),
+            )
+            for i in range(8)
+        ]
+    )
     cut = F.flatten(
         F.transform(
-            F.sequence(F.lit(0), F.lit(7)),
-            lambda i: F.transform(
+            sides,
+            lambda e: F.transform(
                 F.sequence(F.lit(0), F.lit(steps - 1)),
                 lambda j: F.struct(
-                    (F.get(ring, i)["x"] + (F.get(ring, i + 1)["x"] - F.get(ring, i)["x"]) * j / steps).alias("x"),
-                    (F.get(ring, i)["y"] + (F.get(ring, i + 1)["y"] - F.get(ring, i)["y"]) * j / steps).alias("y"),
+                    (e["x1"] + (e["x2"] - e["x1"]) * j / steps).alias("x"),
+                    (e["y1"] + (e["y2"] - e["y1"]) * j / steps).alias("y"),
                 ),
             ),
         )
     )
-    return F.concat(cut, F.array(F.get(cut, F.lit(0))))
+    return R.let(cut, R.close_ring)
 
 
 def square_ring(cx, cy, half: float, ccw: bool):
@@ -154,8 +164,7 @@ def zones(spark: SparkSession, sf: str) -> DataFrame:
 def zones512(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "part").select(F.col("p_partkey").alias("k"))
     return (
-        rows.withColumn("ring8", star_ring())
-        .select(
+        rows.select(
             F.col("k").alias("zone_id"),
             F.expr(STATE).alias("state"),
             F.expr(COUNTY).alias("county"),

@@ -18,6 +18,11 @@ EARTH_RADIUS_KM = 6371.0072  # authalic radius
 _ON_EDGE = 1 << 40
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, whatever the number of mentions."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def point(x, y) -> Column:
     """A position."""
     return F.struct(F.col(x).alias("x") if isinstance(x, str) else x.alias("x"),
@@ -195,16 +200,22 @@ def polygonal(rings: Column) -> Column:
 
 def parts(rings: Column) -> Column:
     """Canonical rings cut into polygons, each a shell with the holes that follow it."""
-    shells = F.filter(
-        F.sequence(F.lit(0), F.greatest(F.size(rings) - 1, F.lit(0))),
-        lambda i: ring_area(F.get(rings, i)) > 0,
-    )
-    return F.transform(
-        shells,
-        lambda at, n: F.slice(
-            rings, at + 1, F.coalesce(F.get(shells, n + 1), F.size(rings)) - at
-        ),
-    )
+    def cut(rs):
+        shells = F.filter(
+            F.sequence(F.lit(0), F.greatest(F.size(rs) - 1, F.lit(0))),
+            lambda i: ring_area(F.get(rs, i)) > 0,
+        )
+        return let(
+            shells,
+            lambda at_all: F.transform(
+                at_all,
+                lambda at, n: F.slice(
+                    rs, at + 1, F.coalesce(F.get(at_all, n + 1), F.size(rs)) - at
+                ),
+            ),
+        )
+
+    return F.when(rings.isNotNull(), let(rings, cut))
 
 
 def dump_parts(df, geometry: str = "rings"):
@@ -255,28 +266,33 @@ def _nested(polys: Column, opening: str, closing: str, sep: str, ring_text) -> C
 def to_wkt(rings: Column) -> Column:
     """Well-known text."""
     polys = _nested(parts(rings), "(", ")", ", ", lambda r: _ring_text(r, " ", "", ""))
-    kind = geometry_type(rings)
-    return (
-        F.when(kind == "POLYGON", F.concat(F.lit("POLYGON "), F.get(polys, F.lit(0))))
-        .when(kind == "MULTIPOLYGON",
-              F.concat(F.lit("MULTIPOLYGON ("), F.array_join(polys, ", "), F.lit(")")))
-        .when(kind == "EMPTY", F.lit("POLYGON EMPTY"))
-    )
+
+    def text(ps):
+        return (
+            F.when(F.size(ps) == 0, F.lit("POLYGON EMPTY"))
+            .when(F.size(ps) == 1, F.concat(F.lit("POLYGON "), F.get(ps, F.lit(0))))
+            .otherwise(F.concat(F.lit("MULTIPOLYGON ("), F.array_join(ps, ", "), F.lit(")")))
+        )
+
+    return F.when(rings.isNotNull(), let(polys, text))
 
 
 def to_geojson(rings: Column) -> Column:
     """GeoJSON geometry object."""
     polys = _nested(parts(rings), "[", "]", ",", lambda r: _ring_text(r, ",", "[", "]"))
-    kind = geometry_type(rings)
-    return F.when(
-        kind == "MULTIPOLYGON",
-        F.concat(F.lit('{"type":"MultiPolygon","coordinates":['), F.array_join(polys, ","),
-                 F.lit("]}")),
-    ).when(
-        rings.isNotNull(),
-        F.concat(F.lit('{"type":"Polygon","coordinates":'),
-                 F.coalesce(F.get(polys, F.lit(0)), F.lit("[]")), F.lit("}")),
-    )
+
+    def text(ps):
+        one = F.concat(
+            F.lit('{"type":"Polygon","coordinates":'),
+            F.coalesce(F.get(ps, F.lit(0)), F.lit("[]")),
+            F.lit("}"),
+        )
+        many = F.concat(
+            F.lit('{"type":"MultiPolygon","coordinates":['), F.array_join(ps, ","), F.lit("]}")
+        )
+        return F.when(F.size(ps) > 1, many).otherwise(one)
+
+    return F.when(rings.isNotNull(), let(polys, text))
 
 
 def to_feature(rings: Column, **properties: Column) -> Column:

@@ -45,36 +45,41 @@ def self_crossings(zones: DataFrame, keys: list[str], geometry: str = "rings") -
     Edges become rows in a grid over the zone's own box, as fine as its edge count asks for, so
     each grid square holds a few edges whatever the size of the polygon.
     """
-    b = F.col("bbox")
     rows = (
-        zones.select(*keys, R.bbox(F.col(geometry)).alias("bbox"), R.edges(F.col(geometry)).alias("es"))
+        zones.select(
+            *keys, R.bbox(F.col(geometry)).alias("bbox"), R.edges(F.col(geometry)).alias("es")
+        )
         .where("bbox IS NOT NULL")
-        .withColumn("side", F.ceil(F.sqrt(F.size("es"))).cast("bigint"))
-        .select(*keys, "bbox", "side", F.posexplode("es").alias("n", "e"))
+        .select(
+            *keys, "bbox.*", F.ceil(F.sqrt(F.size("es"))).cast("bigint").alias("side"),
+            F.posexplode("es").alias("n", "e"),
+        )
+        .select(*keys, "xmin", "ymin", "xmax", "ymax", "side", "n", "e.*")
     )
 
     def square(v, lo, hi):
-        width = F.nullif(hi - lo, F.lit(0.0))
-        at = F.floor((v - lo) / width * F.col("side"))
+        width = F.nullif(F.col(hi) - F.col(lo), F.lit(0.0))
+        at = F.floor((v - F.col(lo)) / width * F.col("side"))
         return F.coalesce(F.least(at, F.col("side") - 1), F.lit(0)).cast("bigint")
 
     def span(k1, k2, lo, hi):
-        e = F.col("e")
         return F.explode(
-            F.sequence(
-                square(F.least(e[k1], e[k2]), lo, hi), square(F.greatest(e[k1], e[k2]), lo, hi)
-            )
+            F.sequence(square(F.least(k1, k2), lo, hi), square(F.greatest(k1, k2), lo, hi))
         )
 
-    rows = rows.withColumn("gi", span("x1", "x2", b["xmin"], b["xmax"]))
-    rows = rows.withColumn("gj", span("y1", "y2", b["ymin"], b["ymax"]))
-    one = rows.select(*keys, "gi", "gj", F.col("n").alias("n1"), F.col("e").alias("s"))
-    two = rows.select(*keys, "gi", "gj", F.col("n").alias("n2"), F.col("e").alias("t"))
-    s, t = F.col("s"), F.col("t")
+    rows = rows.withColumn("gi", span("x1", "x2", "xmin", "xmax"))
+    rows = rows.withColumn("gj", span("y1", "y2", "ymin", "ymax"))
+    ends = ["x1", "y1", "x2", "y2"]
+    one = rows.select(*keys, "gi", "gj", F.col("n").alias("n1"), *ends)
+    two = rows.select(
+        *keys, "gi", "gj", F.col("n").alias("n2"), *[F.col(c).alias(f"o{c}") for c in ends]
+    )
+    s = [F.col(c) for c in ends]
+    t = [F.col(f"o{c}") for c in ends]
 
     def apart(a, c):
-        d1 = _cross(a["x1"], a["y1"], a["x2"], a["y2"], c["x1"], c["y1"])
-        d2 = _cross(a["x1"], a["y1"], a["x2"], a["y2"], c["x2"], c["y2"])
+        d1 = _cross(*a, c[0], c[1])
+        d2 = _cross(*a, c[2], c[3])
         return ((d1 > 0) & (d2 < 0)) | ((d1 < 0) & (d2 > 0))
 
     return (
