@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zoneloom.functions import grid as G
@@ -117,6 +117,11 @@ def scan_files(spark: SparkSession, root: str, paths: list[str]) -> DataFrame:
     return spark.read.option("basePath", root).parquet(*paths)
 
 
+def plain_path(path) -> Column:
+    """The path that file metadata holds in URI form, as readers take it."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def file_listing(spark: SparkSession, root: str) -> DataFrame:
     """``path, bytes`` of the data files, from the listing alone."""
     return (
@@ -196,7 +201,7 @@ def file_index(spark: SparkSession, root: str) -> DataFrame:
     units = [c for c in ("state", "county", "cell") if c in rows.columns]
     return extent_of_files(
         rows.select(
-            *units, "bbox", F.col("_metadata.file_path").alias("path"),
+            *units, "bbox", plain_path(F.col("_metadata.file_path")).alias("path"),
             F.col("_metadata.file_size").alias("size"),
         ),
         units,
@@ -265,12 +270,15 @@ _FOOTER_SCHEMA = (
 
 
 def _read_footers(batches):
+    from urllib.parse import quote
+
     import pyarrow.fs as pafs
     import pyarrow.parquet as pq
 
     for batch in batches:
         for path in batch.column("path").to_pylist():
-            fs, inner = pafs.FileSystem.from_uri(path)
+            # a Hadoop path is not percent-encoded, a URI is
+            fs, inner = pafs.FileSystem.from_uri(quote(path, safe=":/"))
             with fs.open_input_file(inner) as source:
                 meta = pq.ParquetFile(source).metadata
             keys = sorted(k.decode() for k in (meta.metadata or {}))
