@@ -21,12 +21,13 @@ REFINE = 8
 MAX_REFINEMENTS = 4
 
 
-def hottest(df: DataFrame, keys: list[str], more_than: int) -> DataFrame:
+def hottest(
+    df: DataFrame, keys: list[str], more_than: int, sizes: DataFrame | None = None
+) -> DataFrame:
     """Keys with more than so many rows, at most ``HOT_KEYS`` of them, so safe to broadcast."""
+    counts = df.groupBy(*keys).agg(F.count("*").alias("n")) if sizes is None else sizes
     return (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") > more_than)
+        counts.where(F.col("n") > more_than)
         .orderBy(F.desc("n"), *keys)
         .limit(HOT_KEYS)
     )
@@ -42,13 +43,33 @@ def with_edges(zones: DataFrame, geometry: str = "rings") -> DataFrame:
     return zones.withColumns(new) if new else zones
 
 
-def _point_test(boundary: bool) -> Column:
+def _probe(points: DataFrame, zones: DataFrame, on: list[str], boundary: bool) -> DataFrame:
+    """Pairs whose point lies in the zone, for rows that share the keys ``on``.
+
+    Edges are exploded behind the box test and only those on the ray are counted, so the exact
+    test runs as generated code. The keys lead the grouping, which then needs no further shuffle
+    when the join was shuffled by them.
+    """
     x, y = F.col("x"), F.col("y")
-    exact = R.intersects_point if boundary else R.contains_point
-    # one CASE, so that the cheap test always runs first
-    return F.when(
-        R.box_has_point(F.col("bbox"), x, y), exact(F.col("edges"), x, y)
-    ).otherwise(F.lit(False))
+    keep = [c for c in [*points.columns, *zones.columns] if c not in (*on, "bbox", "edges")]
+    # row numbers keep equal rows apart; all edges of a pair meet in the task that paired them
+    near = (
+        points.withColumn("_p", F.monotonically_increasing_id())
+        .join(zones.withColumn("_z", F.monotonically_increasing_id()), on)
+        .where(R.box_has_point(F.col("bbox"), x, y))
+    )
+    group = [*on, *keep, "_p", "_z"]
+    rows = near.select(*group, F.explode("edges").alias("e"))
+    e = F.col("e")
+    touch, cross = R.edge_has_point(e, x, y), R.edge_crosses_ray(e, x, y)
+    found = (
+        rows.where(touch | cross)
+        .groupBy(*group)
+        .agg(F.bool_or(touch).alias("_touch"), F.count_if(cross).alias("_cross"))
+    )
+    odd = F.col("_cross") % 2 == 1
+    inside = (F.col("_touch") | odd) if boundary else (~F.col("_touch") & odd)
+    return found.where(inside).select(*on, *keep)
 
 
 def _finer(points: DataFrame, zones: DataFrame, size: float) -> tuple[DataFrame, DataFrame]:
@@ -69,7 +90,7 @@ def _finer(points: DataFrame, zones: DataFrame, size: float) -> tuple[DataFrame,
     return G.with_point_cell(points, size), fine
 
 
-def _split_join(points: DataFrame, zones: DataFrame, hot_rows: int) -> DataFrame:
+def _split_join(points: DataFrame, zones: DataFrame, hot_rows: int, boundary: bool) -> DataFrame:
     """Cells too full even at the finest size: a grid of tasks per cell, each pair met once."""
     pieces = lambda df, name: hottest(df, CELL, hot_rows).select(
         *CELL, F.ceil(F.col("n") / hot_rows).cast("int").alias(name)
@@ -91,10 +112,10 @@ def _split_join(points: DataFrame, zones: DataFrame, hot_rows: int) -> DataFrame
 
     p = dealt(points, "_a", "pa", "_b", "zb")
     z = dealt(zones, "_b", "zb", "_a", "pa")
-    return p.join(z, [*CELL, "_a", "_b"]).drop("_a", "_b")
+    return _probe(p, z, [*CELL, "_a", "_b"], boundary).drop("_a", "_b")
 
 
-def _match(points, zones, size, test, hot_rows, refinements) -> DataFrame:
+def _match(points, zones, size, boundary, hot_rows, refinements) -> DataFrame:
     hot = (
         hottest(points, CELL, hot_rows)
         .select(*CELL)
@@ -102,17 +123,17 @@ def _match(points, zones, size, test, hot_rows, refinements) -> DataFrame:
         .distinct()
     )
     if hot.isEmpty():
-        return points.join(zones, CELL).where(test)
+        return _probe(points, zones, CELL, boundary)
     hot = F.broadcast(settle(hot))
-    cold = points.join(hot, CELL, "left_anti").join(
-        zones.join(hot, CELL, "left_anti"), CELL
-    ).where(test)
+    cold = _probe(
+        points.join(hot, CELL, "left_anti"), zones.join(hot, CELL, "left_anti"), CELL, boundary
+    )
     p, z = points.join(hot, CELL, "left_semi"), zones.join(hot, CELL, "left_semi")
     if refinements == 0:
-        dense = _split_join(p, z, hot_rows).where(test)
+        dense = _split_join(p, z, hot_rows, boundary)
     else:
         p, z = _finer(p, z, size / REFINE)
-        dense = _match(p, z, size / REFINE, test, hot_rows, refinements - 1)
+        dense = _match(p, z, size / REFINE, boundary, hot_rows, refinements - 1)
     return cold.unionByName(dense)
 
 
@@ -126,8 +147,7 @@ def match_points(
     """Points (``x, y``) against zones already filed under cells (``ci, cj, bbox, rings``)."""
     zones = with_edges(cell_zones).drop("rings")
     keyed = G.with_point_cell(points, size)
-    out = _match(keyed, zones, size, _point_test(boundary), hot_rows, MAX_REFINEMENTS)
-    return out.drop(*CELL, "edges", "bbox")
+    return _match(keyed, zones, size, boundary, hot_rows, MAX_REFINEMENTS).drop(*CELL)
 
 
 def point_in_zone(
@@ -209,15 +229,22 @@ def box_join(left: DataFrame, right: DataFrame, size: float, left_box="lbox", ri
 def zones_in_boxes(boxes: DataFrame, zones: DataFrame, size: float, box: str = "vbox") -> DataFrame:
     """Pairs of box and zone that truly meet."""
     filed = with_edges(zones).where("bbox IS NOT NULL").drop("rings")
+    boxes = boxes.withColumn("_p", F.monotonically_increasing_id())
+    filed = filed.withColumn("_z", F.monotonically_increasing_id())
     pairs = box_join(boxes, filed, size, box, "bbox")
-    meets = R.intersects_box(F.col("edges"), F.col(box))
-    inside = (
-        (F.col("bbox.xmin") >= F.col(f"{box}.xmin"))
-        & (F.col("bbox.xmax") <= F.col(f"{box}.xmax"))
-        & (F.col("bbox.ymin") >= F.col(f"{box}.ymin"))
-        & (F.col("bbox.ymax") <= F.col(f"{box}.ymax"))
+    keep = [c for c in pairs.columns if c not in ("bbox", "edges")]
+    v, e = F.col(box), F.col("e")
+    meets = R.edge_meets_box(e, v)
+    # the ray from a corner tells a box that lies inside the zone
+    cross = R.edge_crosses_ray(e, v["xmin"], v["ymin"])
+    return (
+        pairs.select(*keep, F.explode("edges").alias("e"))
+        .where(meets | cross)
+        .groupBy(*keep)
+        .agg(F.bool_or(meets).alias("_meets"), F.count_if(cross).alias("_cross"))
+        .where("_meets OR _cross % 2 = 1")
+        .drop("_meets", "_cross", "_p", "_z")
     )
-    return pairs.where(F.when(inside, F.lit(True)).otherwise(meets)).drop("edges", "bbox")
 
 
 def lookup_point(layout: DataFrame, x: float, y: float, size: float, boundary: bool = True):
@@ -294,9 +321,7 @@ def two_step_lookup(
     ).drop("at", "bbox")
     filed = G.with_box_cells(with_edges(zones).drop("rings"), size)
     keyed = G.with_point_cell(files, size)
-    return keyed.join(filed, [file_key, *CELL]).where(_point_test(True)).drop(
-        *CELL, "edges", "bbox"
-    )
+    return _probe(keyed, filed, [file_key, *CELL], boundary=True).drop(*CELL)
 
 
 def spread_points(ids: DataFrame, extents: DataFrame, group: str, id_col: str) -> DataFrame:

@@ -50,12 +50,18 @@ def write_parquet(
     writer.parquet(path)
 
 
-def _write_grouped(df, path, keys, order, group_rows, rows_per_file, mode, **options) -> None:
-    """One file per key; a key with more than ``rows_per_file`` rows gets several, by range."""
+def _write_grouped(
+    df, path, keys, order, group_rows, rows_per_file, mode, sizes=None, **options
+) -> None:
+    """One file per key; a key with more than ``rows_per_file`` rows gets several, by range.
+
+    ``sizes`` holds ``keys, n`` when that is cheaper to know than to count ``df``, which may be
+    the outcome of a kernel; an estimate will do.
+    """
     sort = [*keys, *order]
     # an explicit number: small input must not end up in one task that writes every file
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = hottest(df, keys, rows_per_file)
+    hot = hottest(df, keys, rows_per_file, sizes)
     if hot.isEmpty():
         cold, dense = df, None
     else:
@@ -86,9 +92,12 @@ def write_units(
     order=(),
     group_rows: int = SILVER_GROUP,
     rows_per_file: int = ROWS_PER_FILE,
+    sizes: DataFrame | None = None,
 ) -> None:
     """A whole layer, one folder per unit."""
-    _write_grouped(df, path, list(keys), list(order), group_rows, rows_per_file, "overwrite")
+    _write_grouped(
+        df, path, list(keys), list(order), group_rows, rows_per_file, "overwrite", sizes
+    )
 
 
 def replace_units(
@@ -98,10 +107,11 @@ def replace_units(
     order=(),
     group_rows: int = SILVER_GROUP,
     rows_per_file: int = ROWS_PER_FILE,
+    sizes: DataFrame | None = None,
 ) -> None:
     """Rewrite only the units that ``df`` holds; all others stay as they are."""
     _write_grouped(
-        df, path, list(keys), list(order), group_rows, rows_per_file, "overwrite",
+        df, path, list(keys), list(order), group_rows, rows_per_file, "overwrite", sizes,
         partitionOverwriteMode="dynamic",
     )
 
@@ -171,7 +181,14 @@ def write_cells(
     if curve_box is None:
         curve_box = tuple(extent(pieces).first()["bbox"])
     filed = file_cells(pieces, size, curve_box, bits)
-    _write_grouped(filed, path, ["cell"], ["hilbert"], group_rows, rows_per_file, "overwrite")
+    # boxes alone give a close upper bound, and only their column is read for it
+    boxed = G.with_box_cells(pieces.select("bbox"), size)
+    sizes = boxed.groupBy(G.cell_id(F.col("ci"), F.col("cj")).alias("cell")).agg(
+        F.count("*").alias("n")
+    )
+    _write_grouped(
+        filed, path, ["cell"], ["hilbert"], group_rows, rows_per_file, "overwrite", sizes
+    )
 
 
 def write_global_order(
