@@ -74,34 +74,28 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def _m(i: int):
-    return (F.lit(1) + (F.col("k") * 31 + i * 17) % 7) * 4
+def _vertex(i, name_x: str = "x", name_y: str = "y") -> list:
+    """Vertex ``i`` of the star of key ``k``; ``i`` may run past the end."""
+    at = i % 8
+    reach = (F.lit(1) + (F.col("k") * 31 + at * 17) % 7) * 4
+    dx, dy = (F.array(*[F.lit(d) for d in ds]) for ds in (DX, DY))
+    west, south = centre()
+    return [
+        (west + F.get(dx, at) * reach).cast("double").alias(name_x),
+        (south + F.get(dy, at) * reach).cast("double").alias(name_y),
+    ]
 
 
 def star_ring():
     """The 8-vertex star of key ``k``, closed, counter-clockwise."""
-    pts = [
-        F.struct(
-            ((F.col("k") * 7919) % SIDE + DX[i] * _m(i)).cast("double").alias("x"),
-            ((F.col("k") * 104729) % SIDE + DY[i] * _m(i)).cast("double").alias("y"),
-        )
-        for i in [*range(8), 0]
-    ]
-    return F.array(*pts)
+    return F.transform(F.sequence(F.lit(0), F.lit(8)), lambda i: F.struct(*_vertex(i)))
 
 
 def fine_ring(steps: int = 64):
     """The star with every edge cut into equal steps: same shape, ``8 * steps`` vertices."""
-    x = [((F.col("k") * 7919) % SIDE + DX[i] * _m(i)).cast("double") for i in range(8)]
-    y = [((F.col("k") * 104729) % SIDE + DY[i] * _m(i)).cast("double") for i in range(8)]
-    sides = F.array(
-        *[
-            F.struct(
-                x[i].alias("x1"), y[i].alias("y1"),
-                x[(i + 1) % 8].alias("x2"), y[(i + 1) % 8].alias("y2"),
-            )
-            for i in range(8)
-        ]
+    sides = F.transform(
+        F.sequence(F.lit(0), F.lit(7)),
+        lambda i: F.struct(*_vertex(i, "x1", "y1"), *_vertex(i + 1, "x2", "y2")),
     )
     cut = F.flatten(
         F.transform(

@@ -33,25 +33,49 @@ def hottest(
     )
 
 
+def with_box(zones: DataFrame, geometry: str = "rings") -> DataFrame:
+    """Add ``bbox`` where missing."""
+    return zones if "bbox" in zones.columns else zones.withColumn("bbox", R.bbox(F.col(geometry)))
+
+
 def with_edges(zones: DataFrame, geometry: str = "rings") -> DataFrame:
     """Add ``bbox`` and ``edges`` where missing."""
-    new = {}
-    if "bbox" not in zones.columns:
-        new["bbox"] = R.bbox(F.col(geometry))
-    if "edges" not in zones.columns:
-        new["edges"] = R.edges(F.col(geometry))
-    return zones.withColumns(new) if new else zones
+    zones = with_box(zones, geometry)
+    if "edges" in zones.columns:
+        return zones
+    return zones.withColumn("edges", R.edges(F.col(geometry)))
+
+
+def _edge_rows(df: DataFrame, keep: list[str], x: Column, y: Column) -> DataFrame:
+    """One row per edge that reaches the height ``y``, with its ends as struct ``e``.
+
+    Ring points are exploded with their position and the next point is read off the ring, so no
+    edge array is ever built and the whole step is generated code.
+    """
+    ends = (
+        df.select(*keep, F.explode("rings").alias("r"))
+        .select(*keep, "r", F.posexplode("r").alias("i", "a"))
+        .select(
+            *keep,
+            F.col("a.x").alias("x1"),
+            F.col("a.y").alias("y1"),
+            F.get("r", F.col("i") + 1)["x"].alias("x2"),
+            F.get("r", F.col("i") + 1)["y"].alias("y2"),
+        )
+    )
+    a, b = F.col("y1"), F.col("y2")
+    # the last point has no next one: its NULL fails the test
+    return ends.where(((a <= y) | (b <= y)) & ((a >= y) | (b >= y)))
 
 
 def _probe(points: DataFrame, zones: DataFrame, on: list[str], boundary: bool) -> DataFrame:
     """Pairs whose point lies in the zone, for rows that share the keys ``on``.
 
-    Edges are exploded behind the box test and only those on the ray are counted, so the exact
-    test runs as generated code. The keys lead the grouping, which then needs no further shuffle
-    when the join was shuffled by them.
+    Edges are looked at behind the box test only, and only those on the ray are counted. The keys
+    lead the grouping, which then needs no further shuffle when the join was shuffled by them.
     """
     x, y = F.col("x"), F.col("y")
-    keep = [c for c in [*points.columns, *zones.columns] if c not in (*on, "bbox", "edges")]
+    keep = [c for c in [*points.columns, *zones.columns] if c not in (*on, "bbox", "rings")]
     # row numbers keep equal rows apart; all edges of a pair meet in the task that paired them
     near = (
         points.withColumn("_p", F.monotonically_increasing_id())
@@ -59,11 +83,11 @@ def _probe(points: DataFrame, zones: DataFrame, on: list[str], boundary: bool) -
         .where(R.box_has_point(F.col("bbox"), x, y))
     )
     group = [*on, *keep, "_p", "_z"]
-    rows = near.select(*group, F.explode("edges").alias("e"))
-    e = F.col("e")
+    e = {k: F.col(k) for k in ("x1", "y1", "x2", "y2")}
     touch, cross = R.edge_has_point(e, x, y), R.edge_crosses_ray(e, x, y)
     found = (
-        rows.where(touch | cross)
+        _edge_rows(near, group, x, y)
+        .where(touch | cross)
         .groupBy(*group)
         .agg(F.bool_or(touch).alias("_touch"), F.count_if(cross).alias("_cross"))
     )
@@ -145,7 +169,7 @@ def match_points(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Points (``x, y``) against zones already filed under cells (``ci, cj, bbox, rings``)."""
-    zones = with_edges(cell_zones).drop("rings")
+    zones = with_box(cell_zones)
     keyed = G.with_point_cell(points, size)
     return _match(keyed, zones, size, boundary, hot_rows, MAX_REFINEMENTS).drop(*CELL)
 
@@ -158,7 +182,7 @@ def point_in_zone(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One row per (point, zone) that meet; ``boundary`` says whether the border counts."""
-    filed = G.with_box_cells(with_edges(zones).where("bbox IS NOT NULL"), size)
+    filed = G.with_box_cells(with_box(zones).where("bbox IS NOT NULL"), size)
     return match_points(points, filed, size, boundary, hot_rows)
 
 
@@ -319,7 +343,7 @@ def two_step_lookup(
     files = box_join(
         points.withColumn("at", at), index.select(file_key, "bbox"), size, "at", "bbox"
     ).drop("at", "bbox")
-    filed = G.with_box_cells(with_edges(zones).drop("rings"), size)
+    filed = G.with_box_cells(with_box(zones), size)
     keyed = G.with_point_cell(files, size)
     return _probe(keyed, filed, [file_key, *CELL], boundary=True).drop(*CELL)
 
