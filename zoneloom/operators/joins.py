@@ -251,18 +251,23 @@ def box_join(left: DataFrame, right: DataFrame, size: float, left_box="lbox", ri
 
 
 def zones_in_boxes(boxes: DataFrame, zones: DataFrame, size: float, box: str = "vbox") -> DataFrame:
-    """Pairs of box and zone that truly meet."""
+    """Pairs of box and zone that truly meet, without the geometry of either."""
     filed = with_edges(zones).where("bbox IS NOT NULL").drop("rings")
     boxes = boxes.withColumn("_p", F.monotonically_increasing_id())
     filed = filed.withColumn("_z", F.monotonically_increasing_id())
     pairs = box_join(boxes, filed, size, box, "bbox")
-    keep = [c for c in pairs.columns if c not in ("bbox", "edges")]
+    keep = [c for c in pairs.columns if c not in ("bbox", "edges", box)]
     v, e = F.col(box), F.col("e")
     meets = R.edge_meets_box(e, v)
+    b = F.col("bbox")
+    swallowed = (b["xmin"] >= v["xmin"]) & (b["xmax"] <= v["xmax"])
+    swallowed = swallowed & (b["ymin"] >= v["ymin"]) & (b["ymax"] <= v["ymax"])
+    # any one edge proves a zone that lies whole in the box
+    tested = F.when(swallowed, F.slice("edges", 1, 1)).otherwise(F.col("edges"))
     # the ray from a corner tells a box that lies inside the zone
     cross = R.edge_crosses_ray(e, v["xmin"], v["ymin"])
     return (
-        pairs.select(*keep, F.explode("edges").alias("e"))
+        pairs.select(*keep, box, F.explode(tested).alias("e"))
         .where(meets | cross)
         .groupBy(*keep)
         .agg(F.bool_or(meets).alias("_meets"), F.count_if(cross).alias("_cross"))
