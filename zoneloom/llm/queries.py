@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from zoneloom.llm.common import table
 from zoneloom.llm.exact_dedup import exact_duplicates
+from zoneloom.llm.ngram_join import near_groups
 from zoneloom.llm.packing import pack
 from zoneloom.llm.sharding import assign_shards
 from zoneloom.llm.simhash import fingerprint_documents
@@ -46,3 +47,8 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_fingerprints")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint_documents(table(spark, folder, "documents"))
+
+
+@query("op5_ngram_join")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return near_groups(table(spark, folder, "documents"))
