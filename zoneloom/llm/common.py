@@ -72,6 +72,7 @@ WHITE = np.zeros(256, bool)
 WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+LOWER_LETTERS = LETTERS[LOWER]
 
 
 def words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -104,16 +105,32 @@ BASE = 0x9E3779B97F4A7C15 | 3
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
 
 
+class Cache(dict):
+    """Values worked out once in a process; it travels empty."""
+
+    def __reduce__(self):
+        return Cache, ()
+
+
+POWERS = Cache()
+
+
+def kept_powers(base: int, n: int) -> np.ndarray:
+    if len(POWERS.get(base, ())) < n:
+        POWERS[base] = powers(base, max(n, SLICE_BYTES + 1))
+    return POWERS[base][:n]
+
+
 def word_hashes(data: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
     """A 64-bit hash of every word, from prefix sums of a polynomial over all bytes."""
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(LETTERS[LOWER[data]] * powers(BASE, len(data)), out=total[1:])
-    back = powers(BASE_INVERSE, len(data) + 1)
+    np.cumsum(LOWER_LETTERS[data] * kept_powers(BASE, len(data)), out=total[1:])
+    back = kept_powers(BASE_INVERSE, len(data) + 1)
     return mix((total[e] - total[s]) * back[s] + (e - s).astype(np.uint64))
 
 
 def word_shingles(data: np.ndarray, at: np.ndarray, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """(row, hash) of every run of ``size`` lower-cased words; a row with fewer words, but some, has them all as one."""
+    """(row, hash) of every run of ``size`` lower-cased words, by rows; one with fewer words, but some, has them all as one."""
     s, e, row = words(data, at)
     if not len(s):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
@@ -133,7 +150,12 @@ def word_shingles(data: np.ndarray, at: np.ndarray, size: int = 5) -> tuple[np.n
             has = counts[few] > k
             short[has] += mix(h[first[has] + k] * MULTIPLIERS[k])
         short = mix(short + counts[few].astype(np.uint64))
-    return np.concatenate([row[:m][full], few]), np.concatenate([mix(whole[full]), short])
+    row, whole = row[:m][full], mix(whole[full])
+    if len(few):
+        row, whole = np.concatenate([row, few]), np.concatenate([whole, short])
+        order = np.argsort(row, kind="stable")
+        row, whole = row[order], whole[order]
+    return row, whole
 
 
 def numbered(df: DataFrame, group: list[str], order: list[str], spread: str, pieces: int, to: str) -> DataFrame:

@@ -4,12 +4,13 @@ A document's set is its distinct 5-word shingles as 64-bit hashes. Equal sets ar
 once. Two classes link when ``100 * intersection >= 80 * union``; the join finds every such link that
 connects classes not yet connected, and returns components.
 
-1. Shingles are ordered rarest first, by counters of a fixed number of slots. Sets that alike share a
-   shingle among the first fifth of either (prefix principle), so only shared prefix shingles go on.
-2. Classes that share one meet in a tile. A 256-bit bitmap of each set, every shingle toggling one
-   bit, bounds the overlap from above: differing bits are at most the differing shingles. Tiles report
-   a spanning forest of the pairs that the bound lets through, never all pairs.
-3. The groups so formed get their sorted arrays. A large group is dealt to tiles of size bands (a
+1. A set can link only if four fifths of its shingles occur in some other set; most have fewer and
+   drop out. The rest are ordered, those of one set alone first, then by counters of a fixed number of
+   slots. Sets that link share a shingle among the first fifth of either (prefix principle).
+2. Classes that share one meet in a tile, without their sets. A 256-bit bitmap of each set, every
+   shingle toggling one bit, bounds the overlap from above: differing bits are at most the differing
+   shingles. Tiles report a spanning forest of the pairs that the bound lets through, never all pairs.
+3. The groups so formed get their sorted arrays, made once more from the texts. A large group is dealt to tiles of size bands (a
    factor 1.25 each; only equal and adjacent bands can link) and blocks within bands. In a tile, size,
    then bitmap, then the exact sorted intersection decide; pairs already connected are skipped.
 
@@ -31,26 +32,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zoneloom.llm.common import components, mix, n_partitions, near_log, slices, text_bytes, word_shingles
-from zoneloom.llm.screen import kept_bits, member, shared_grams
+from zoneloom.llm.screen import kept_bits, shared_grams
 from zoneloom.session import settle
 
 SIMILAR = 80
 SIZE = 5
-WORDS = 4  # 64-bit words of a bitmap
+WORDS = 4  # 64-bit words of a bitmap in the token tiles
+WIDE = 32  # and where the sets are at hand
 BLOCK_SHINGLES = 2_000_000
 TOKEN_BLOCK = 4_096
 
 
-def sets_of(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, shingle), distinct and sorted within rows."""
-    row, h = word_shingles(data, at, SIZE)
-    order = np.lexsort((h, row))
-    row, h = row[order], h[order]
+def distinct_by_row(row: np.ndarray, h: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The values of each row sorted and without repeats."""
+    cut = _edges(row, n)
+    h = h.copy()
+    for a, b in zip(cut.tolist(), cut[1:].tolist(), strict=False):
+        h[a:b].sort()
     fresh = np.ones(len(h), bool)
     fresh[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
     return row[fresh], h[fresh]
 
 
+def sets_of(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, shingle), distinct and sorted within rows."""
+    return distinct_by_row(*word_shingles(data, at, SIZE), len(at) - 1)
+
+
 def _edges(row: np.ndarray, n: int) -> np.ndarray:
     return np.searchsorted(row, np.arange(n + 1))
 
@@ -68,12 +76,14 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _counter(slots: int) -> Callable:
+    shift = np.uint64(64 - int(math.log2(slots)))
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(slots, np.int64)
         for b in batches:
             for _, _, data, at in slices(b.column("text")):
-                _, h = sets_of(data, at)
-                total += np.bincount((h >> np.uint64(20)).astype(np.int64) & (slots - 1), minlength=slots)
+                _, h = word_shingles(data, at, SIZE)
+                total += np.bincount((h >> shift).astype(np.int64), minlength=slots)
         at = np.flatnonzero(total)
         for lo in range(0, len(at), 1 << 16):
             some = at[lo : lo + (1 << 16)]
@@ -93,51 +103,43 @@ def rarity(texts: DataFrame, slots: int) -> np.ndarray:
     return levels
 
 
-def _prefixes(levels: np.ndarray) -> Callable:
-    slots = np.int64(len(levels) - 1)
+NOTE = [("n", np.int64), ("masked", np.int64), ("bitmap", np.uint64, WORDS)]
+
+
+def _grams(part_bits: int) -> Callable:
+    """All shingles of a row; its note has their number, the number after masking and the bitmap."""
+    mask = kept_bits(part_bits)
 
-    def prefix(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def grams(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        n = len(at) - 1
         row, h = sets_of(data, at)
-        level = levels[(h >> np.uint64(20)).astype(np.int64) & slots]
-        order = np.lexsort((h, level, row))
-        row, h = row[order], h[order]
-        cut = _edges(row, len(at) - 1)
-        size = np.diff(cut)
-        first = size - (SIMILAR * size + 99) // 100 + 1
-        place = np.arange(len(row)) - cut[row]
-        few = place < first[row]
-        return row[few], mix(h[few])
+        notes = np.zeros(n, NOTE)
+        notes["n"], notes["bitmap"] = np.bincount(row, minlength=n), bitmaps(row, h, n)
+        h = h & mask
+        fresh = np.ones(len(h), bool)
+        fresh[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
+        notes["masked"] = np.bincount(row[fresh], minlength=n)
+        return row[fresh], h[fresh], notes.view(np.uint8).reshape(n, -1)
 
-    return prefix
+    return grams
 
 
-def bitmaps(row: np.ndarray, h: np.ndarray, n: int) -> np.ndarray:
-    """(n, WORDS) words: every shingle toggles one bit of its row."""
-    bits = WORDS * 64
-    bit = row * bits + (mix(h ^ np.uint64(0xA5A5A5A5)) >> np.uint64(40)).astype(np.int64) % bits
-    odd = (np.bincount(bit, minlength=n * bits) & 1).astype(np.uint8)
-    return np.packbits(odd.reshape(n, bits), axis=1).view(np.uint64)
+def least_overlap(notes: np.ndarray) -> np.ndarray:
+    """Masked shingles that a set has in common with any set it links with, at least."""
+    return (SIMILAR * notes["n"] + 99) // 100 - (notes["n"] - notes["masked"])
 
 
-def _candidates(levels: np.ndarray, part_bits: int) -> Callable:
-    prefix = _prefixes(levels)
+def _enough(notes: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    known = np.ascontiguousarray(notes).view(NOTE).ravel()
+    return (shared > 0) & (shared >= least_overlap(known))
 
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for lo, hi, data, at in slices(b.column("text")):
-                row, grams = prefix(data, at)
-                hit = member(row, grams, part_bits, b.column("grams").slice(lo, hi - lo))
-                row, grams = row[hit], grams[hit] & kept_bits(part_bits)
-                all_row, h = sets_of(data, at)
-                maps = bitmaps(all_row, h, hi - lo)
-                cut, own = _edges(all_row, hi - lo), _edges(row, hi - lo)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("key").slice(lo, hi - lo), pa.array(np.diff(cut)), pa.array([m.tobytes() for m in maps], pa.binary()),
-                     pa.array([h[x:y].tobytes() for x, y in zip(cut, cut[1:], strict=False)], pa.binary()),
-                     pa.array([grams[x:y].view(np.int64) for x, y in zip(own, own[1:], strict=False)], pa.list_(pa.int64()))],
-                    ["key", "n", "bitmap", "shingles", "tokens"])
-
-    return find
+
+def bitmaps(row: np.ndarray, h: np.ndarray, n: int, words: int = WORDS) -> np.ndarray:
+    """(n, words) of 64 bits: every shingle toggles one bit of its row."""
+    bits = words * 64
+    bit = row * bits + (mix(h ^ np.uint64(0xA5A5A5A5)) >> np.uint64(40)).astype(np.int64) % bits
+    odd = (np.bincount(bit, minlength=n * bits) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(n, bits), axis=1).view(np.uint64)
 
 
 class Forest:
@@ -244,7 +246,7 @@ def _verify(table: pa.Table) -> pa.Table:
     keys, n, side = table.column("key").to_numpy(), table.column("n").to_numpy(), table.column("side").to_numpy()
     data, at = text_bytes(table.column("shingles"))
     values, at = np.ascontiguousarray(data).view(np.uint64), at // 8
-    maps = bitmaps(np.repeat(np.arange(len(keys)), n), values, len(keys))
+    maps = bitmaps(np.repeat(np.arange(len(keys)), n), values, len(keys), WIDE)
     ends = np.searchsorted(100 * n, (100 * 100 * n) // SIMILAR, "right")
     forest = Forest(len(keys))
     for i in range(len(keys) - 1):
@@ -262,44 +264,88 @@ def _verify(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(keys[a], pa.int64()), "b": pa.array(keys[b], pa.int64())})
 
 
+def _few(df: DataFrame, most: int = 50_000) -> tuple[DataFrame, int]:
+    """A written table, to be broadcast if it is counted to be small; and its count."""
+    df = settle(df)
+    n = df.count()
+    return (F.broadcast(df) if n <= most else df), n
+
+
 def _token_tiles(found: DataFrame, block: int) -> DataFrame:
     """(tile, token, key, n, bitmap): tokens by part; a token of more than ``block`` sets by pairs of blocks."""
     spark = found.sparkSession
     rows = found.select("key", "n", "bitmap", F.explode("tokens").alias("token"))
-    blocks = F.ceil(F.col("m") / block).cast("int")
-    many = (found.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("m"))
-            .filter(F.col("m") > block).select("token", blocks.alias("blocks")))
     part = F.pmod(F.xxhash64("token"), F.lit(4 * n_partitions(spark))).cast("string")
+    many, n = _few(rows.groupBy("token").agg(F.count(F.lit(1)).alias("m")).filter(F.col("m") > block)
+                   .select("token", F.ceil(F.col("m") / block).cast("int").alias("blocks")))
+    if not n:
+        return rows.select(part.alias("tile"), "token", "key", "n", "bitmap")
     looked = rows.join(many, "token", "left")
-    plain = looked.filter("blocks is null").select(part.alias("tile"), "token", "key", "n", "bitmap")
     own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.concat_ws(
-        "-", F.col("token").cast("string"), F.least(F.col("own"), o).cast("string"), F.greatest(F.col("own"), o).cast("string")))
-    dealt = (looked.filter("blocks is not null").withColumn("own", own)
-             .select(F.explode(pairs).alias("tile"), "token", "key", "n", "bitmap"))
-    return plain.unionByName(dealt)
+        "-", F.col("token").cast("string"), F.least(own, o).cast("string"), F.greatest(own, o).cast("string")))
+    tiles = F.when(F.col("blocks").isNull(), F.array(part)).otherwise(pairs)
+    return looked.select(F.explode(tiles).alias("tile"), "token", "key", "n", "bitmap")
+
+
+TILES = "array<struct<tile: string, side: int>>"
 
 
 def _group_tiles(members: DataFrame, most: int) -> DataFrame:
-    """(tile, side, key, n, shingles): a group of more than ``most`` shingles by pairs of size-banded blocks."""
+    """(key, tiles): one tile a group; a group of more than ``most`` shingles has pairs of size-banded blocks."""
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(1.25))).cast("int")
     rows = members.withColumn("band", band)
     sums = rows.groupBy("root", "band").agg(F.sum("n").alias("total"))
-    large = sums.groupBy("root").agg(F.sum("total").alias("all"), F.map_from_entries(F.collect_list(F.struct(
-        "band", F.ceil(F.col("total") / (most // 2)).cast("int")))).alias("blocks")).filter(F.col("all") > most).select("root", "blocks")
-    looked = rows.join(large, "root", "left")
+    large, n = _few(sums.groupBy("root").agg(F.sum("total").alias("all"), F.map_from_entries(F.collect_list(F.struct(
+        "band", F.ceil(F.col("total") / (most // 2)).cast("int")))).alias("blocks")).filter(F.col("all") > most).select("root", "blocks"))
     root = F.col("root").cast("string")
-    plain = looked.filter("blocks is null").select(root.alias("tile"), F.lit(0).alias("side"), "key", "n", "shingles")
+    whole = F.array(F.struct(root.alias("tile"), F.lit(0).alias("side"))).cast(TILES)
+    if not n:
+        return rows.select("key", whole.alias("tiles"))
     own = F.struct(F.col("band").alias("band"), F.pmod(F.xxhash64("key"), F.element_at("blocks", F.col("band"))).cast("int").alias("block"))
     others = F.flatten(F.transform(
         F.filter(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1), lambda x: F.map_contains_key("blocks", x)),
         lambda x: F.transform(F.sequence(F.lit(0), F.element_at("blocks", x) - 1), lambda k: F.struct(x.alias("band"), k.alias("block")))))
     pairs = F.transform(F.col("others"), lambda o: F.struct(
         F.concat_ws("-", root, F.to_json(F.least(F.col("own"), o)), F.to_json(F.greatest(F.col("own"), o))).alias("tile"),
-        F.when(F.col("own") == o, 0).when(F.col("own") < o, 1).otherwise(2).alias("side")))
-    dealt = (looked.filter("blocks is not null").withColumn("own", own).withColumn("others", others)
-             .select(F.explode(pairs).alias("pair"), "key", "n", "shingles").select("pair.tile", "pair.side", "key", "n", "shingles"))
-    return plain.unionByName(dealt)
+        F.when(F.col("own") == o, 0).when(F.col("own") < o, 1).otherwise(2).alias("side"))).cast(TILES)
+    looked = rows.join(large, "root", "left")
+    apart = looked.filter("blocks is not null").withColumn("own", own).withColumn("others", others).select("key", pairs.alias("tiles"))
+    return looked.filter("blocks is null").select("key", whole.alias("tiles")).unionByName(apart)
+
+
+def _arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for lo, hi, data, at in slices(b.column("text")):
+            row, h = sets_of(data, at)
+            cut = _edges(row, hi - lo)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("key").slice(lo, hi - lo), pa.array(np.diff(cut)), b.column("tiles").slice(lo, hi - lo),
+                 pa.array([h[x:y].tobytes() for x, y in zip(cut, cut[1:], strict=False)], pa.binary())],
+                ["key", "n", "tiles", "shingles"])
+
+
+def _prefixes(levels: np.ndarray) -> Callable:
+    """(key, n, bitmap, tokens): of the shared shingles, rarest first, as many as a linking set must have one of.
+
+    Shingles of one set alone come first of all, so they count towards the prefix but are no tokens.
+    """
+    shift = np.uint64(64 - int(math.log2(len(levels))))
+
+    def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            notes = np.frombuffer(b"".join(b.column("note").to_pylist()), NOTE)
+            least = least_overlap(notes)
+            tokens = []
+            for x, most in zip(b.column("grams").to_pylist(), least.tolist(), strict=True):
+                h = np.frombuffer(x, np.uint64)
+                h = h[np.lexsort((h, levels[h >> shift]))]
+                tokens.append(h[: len(h) - most + 1].view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("key"), pa.array(notes["n"]), pa.array([m.tobytes() for m in notes["bitmap"]], pa.binary()),
+                 pa.array(tokens, pa.list_(pa.int64()))], ["key", "n", "bitmap", "tokens"])
+
+    return prefix
 
 
 def near_groups(docs: DataFrame, token_block: int = TOKEN_BLOCK, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
@@ -310,18 +356,16 @@ def near_groups(docs: DataFrame, token_block: int = TOKEN_BLOCK, block_shingles:
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     keyed = keyed.withColumn("key", F.xxhash64("doc_id", "text"))
     marked = settle(keyed.select("doc_id", "key", "text").mapInArrow(_summaries, "doc_id long, key long, n long, set_id binary"))
-    classes = marked.filter("n > 0").groupBy("set_id").agg(F.min("key").alias("key"), F.min("doc_id").alias("least"))
-    classes = settle(classes)
-    levels = rarity(keyed, slots)
-    texts = keyed.select("key", "text").join(classes.select("key"), "key", "left_semi").sortWithinPartitions("key")
-    shared = shared_grams(texts, _prefixes(levels), part_bits)
-    found = texts.join(shared, "key").mapInArrow(
-        _candidates(levels, part_bits), "key long, n long, bitmap binary, shingles binary, tokens array<long>")
-    found = settle(found)
+    classes = settle(marked.filter("n > 0").groupBy("set_id").agg(F.min("key").alias("key"), F.min("doc_id").alias("least")))
+    shared = shared_grams(keyed, _grams(part_bits), part_bits, _enough)
+    found = shared.dropDuplicates(["key"]).join(classes.select("key"), "key", "left_semi")  # one row a class
+    found = settle(found.mapInArrow(_prefixes(rarity(keyed, slots)), "key long, n long, bitmap binary, tokens array<long>"))
     edges = _token_tiles(found, token_block).groupBy("tile").applyInArrow(_forest, "a long, b long")
-    groups = components(edges)
-    members = found.select("key", "n", "shingles").join(groups.withColumnRenamed("node", "key"), "key")
-    links = _group_tiles(members, block_shingles).groupBy("tile").applyInArrow(_verify, "a long, b long")
+    members = found.select("key", "n").join(components(edges).withColumnRenamed("node", "key"), "key")
+    dealt = keyed.select("key", "text").join(_group_tiles(members, block_shingles), "key")
+    dealt = dealt.mapInArrow(_arrays, f"key long, n long, tiles {TILES}, shingles binary")
+    # a document written twice brings its set twice: harmless, as equal sets link
+    links = (dealt.select(F.inline("tiles"), "key", "n", "shingles").groupBy("tile").applyInArrow(_verify, "a long, b long"))
     roots = components(links).withColumnRenamed("node", "key")
     rooted = classes.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))

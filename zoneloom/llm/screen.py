@@ -20,8 +20,8 @@ from zoneloom.llm.common import slices, text_bytes
 
 BATCH_BYTES = 8 << 20
 SHARED = np.uint32(0xFFFFFFFF)
-SENT = "part int, batch long, kind int, a binary, b binary"
-BACK = "batch long, kind int, a binary, b binary"
+SENT = "part int, batch long, kind int, a binary, b binary"  # of keys, b has what is noted of each row
+BACK = "part int, batch long, kind int, a binary, b binary"
 GRAM, KNOWN, KEYS = 0, 1, 2
 
 
@@ -30,10 +30,18 @@ def kept_bits(part_bits: int) -> np.uint64:
     return np.uint64(((1 << (part_bits + 32)) - 1) << (32 - part_bits))
 
 
+def _prints(grams: np.ndarray, part_bits: int) -> np.ndarray:
+    return (grams >> np.uint64(32 - part_bits)).astype(np.uint32)
+
+
+def _part_edges(grams: np.ndarray, part_bits: int) -> np.ndarray:
+    return np.searchsorted((grams >> np.uint64(64 - part_bits)).astype(np.int64), np.arange((1 << part_bits) + 1))
+
+
 def _sender(grams_of: Callable, part_bits: int) -> Callable:
     mask, parts = kept_bits(part_bits), 1 << part_bits
 
-    def flush(number: int, keys: list, rows: list, grams: list) -> pa.RecordBatch:
+    def flush(number: int, keys: list, notes: list, rows: list, grams: list) -> pa.RecordBatch:
         h, r = np.concatenate(grams) & mask, np.concatenate(rows)
         order = np.argsort(h, kind="stable")
         h, r = h[order], r[order]
@@ -46,15 +54,16 @@ def _sender(grams_of: Callable, part_bits: int) -> Callable:
         length = np.bincount(run) if len(run) else np.zeros(0, np.int64)
         several = length[run] > 1 if len(run) else np.zeros(0, bool)
         lone = h[first]
-        prints = (lone >> np.uint64(32 - part_bits)).astype(np.uint32)
+        prints, edges = _prints(lone, part_bits), _part_edges(lone, part_bits)
         owner = np.where(length > 1, SHARED, r[first].astype(np.uint32))
-        edges = np.searchsorted((lone >> np.uint64(64 - part_bits)).astype(np.int64), np.arange(parts + 1))
         out = [(p, number, GRAM, prints[a:b].tobytes(), owner[a:b].tobytes())
                for p, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if b > a]
         home = number % parts
-        out.append((home, number, KEYS, np.concatenate(keys).tobytes(), b""))
-        if several.any():
-            out.append((home, number, KNOWN, h[several].tobytes(), r[several].astype(np.uint32).tobytes()))
+        out.append((home, number, KEYS, np.concatenate(keys).tobytes(), np.concatenate(notes).tobytes()))
+        h, r = h[several], r[several].astype(np.uint32)
+        prints, edges = _prints(h, part_bits), _part_edges(h, part_bits)
+        out += [(p, number, KNOWN, prints[a:b].tobytes(), r[a:b].tobytes())
+                for p, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if b > a]
         a, b, c, d, e = zip(*out, strict=True)
         return pa.RecordBatch.from_arrays(
             [pa.array(a, pa.int32()), pa.array(b, pa.int64()), pa.array(c, pa.int32()), pa.array(d, pa.binary()), pa.array(e, pa.binary())],
@@ -62,85 +71,94 @@ def _sender(grams_of: Callable, part_bits: int) -> Callable:
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 24
-        keys, rows, grams, n, size = [], [], [], 0, 0
+        keys, notes, rows, grams, n, size = [], [], [], [], 0, 0
         for b in batches:
             own = b.column("key").to_numpy(zero_copy_only=False)
             for lo, hi, data, at in slices(b.column("text")):
-                row, h = grams_of(data, at)
+                row, h, note = grams_of(data, at)
                 keys.append(own[lo:hi])
+                notes.append(note)
                 rows.append(row + n)
                 grams.append(h)
                 n, size = n + hi - lo, size + len(data)
                 if size >= BATCH_BYTES:
-                    yield flush(number, keys, rows, grams)
-                    keys, rows, grams, n, size, number = [], [], [], 0, 0, number + 1
+                    yield flush(number, keys, notes, rows, grams)
+                    keys, notes, rows, grams, n, size, number = [], [], [], [], 0, 0, number + 1
         if n:
-            yield flush(number, keys, rows, grams)
+            yield flush(number, keys, notes, rows, grams)
 
     return send
 
 
-def _matcher(part_bits: int) -> Callable:
-    def match(table: pa.Table) -> pa.Table:
-        kind = table.column("kind").to_numpy()
-        names = ["batch", "kind", "a", "b"]
-        passed = table.filter(pa.array(kind != GRAM)).select(names)
-        own = table.filter(pa.array(kind == GRAM))
-        if not own.num_rows:
-            return passed
-        data, at = text_bytes(own.column("a"))
-        prints = np.ascontiguousarray(data).view(np.uint32)
-        owner = np.ascontiguousarray(text_bytes(own.column("b"))[0]).view(np.uint32)
-        source = np.repeat(np.arange(own.num_rows), np.diff(at) // 4)
-        order = np.argsort(prints, kind="stable")
-        sorted_prints = prints[order]
-        first = np.ones(len(order), bool)
-        first[1:] = sorted_prints[1:] != sorted_prints[:-1]
-        starts = np.flatnonzero(first)
-        many = np.diff(np.append(starts, len(order))) > 1
-        many |= np.maximum.reduceat(owner[order], starts) == SHARED
-        hit = np.zeros(len(order), bool)
-        hit[order] = many[np.cumsum(first) - 1]
-        hit &= owner != SHARED
-        part = np.uint64(table.column("part")[0].as_py())
-        grams = (part << np.uint64(64 - part_bits)) | (prints[hit].astype(np.uint64) << np.uint64(32 - part_bits))
-        to, owner = source[hit], owner[hit]
-        used, starts = np.unique(to, return_index=True)
-        ends = np.append(starts, len(to))[1:]
-        batch = own.column("batch").to_numpy()[used]
-        found = pa.table({
-            "batch": pa.array(batch, pa.int64()), "kind": pa.array(np.full(len(used), KNOWN, np.int32)),
-            "a": pa.array([grams[a:b].tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary()),
-            "b": pa.array([owner[a:b].tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary())})
-        return pa.concat_tables([passed, found])
-
-    return match
-
-
-def _by_row(table: pa.Table) -> pa.Table:
+def _match(table: pa.Table) -> pa.Table:
+    """Entries of one part that another entry agrees with; what is known already passes."""
     kind = table.column("kind").to_numpy()
-    keys = np.ascontiguousarray(text_bytes(table.filter(pa.array(kind == KEYS)).column("a"))[0]).view(np.int64)
-    known = table.filter(pa.array(kind == KNOWN))
-    grams = np.ascontiguousarray(text_bytes(known.column("a"))[0]).view(np.uint64)
-    owner = np.ascontiguousarray(text_bytes(known.column("b"))[0]).view(np.uint32)
-    order = np.argsort(owner, kind="stable")
-    grams, owner = grams[order], owner[order]
-    used, starts = np.unique(owner, return_index=True)
-    ends = np.append(starts, len(owner))[1:]
-    return pa.table({"key": pa.array(keys[used], pa.int64()),
-                     "grams": pa.array([grams[a:b].tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary())})
-
-
-def shared_grams(rows: DataFrame, grams_of: Callable, part_bits: int) -> DataFrame:
-    """(key, grams) for the rows of (key, text) that have grams in common with another row.
-
-    ``grams_of(bytes, offsets)`` gives (row, gram) in ascending order of rows. ``grams`` are 64-bit
-    little-endian values with the bits that ``kept_bits`` names. Rows have to arrive in a fixed order
-    within their partitions, so that a repeated task cuts the same batches.
+    passed = table.filter(pa.array(kind != GRAM))
+    own = table.filter(pa.array(kind == GRAM))
+    if not own.num_rows:
+        return passed
+    data, at = text_bytes(own.column("a"))
+    prints = np.ascontiguousarray(data).view(np.uint32)
+    owner = np.ascontiguousarray(text_bytes(own.column("b"))[0]).view(np.uint32)
+    source = np.repeat(np.arange(own.num_rows, dtype=np.int32), np.diff(at) // 4)
+    order = np.argsort(prints, kind="stable")
+    sorted_prints = prints[order]
+    first = np.ones(len(order), bool)
+    first[1:] = sorted_prints[1:] != sorted_prints[:-1]
+    starts = np.flatnonzero(first)
+    many = np.diff(np.append(starts, len(order))) > 1
+    many |= np.maximum.reduceat(owner[order], starts) == SHARED
+    hit = np.zeros(len(order), bool)
+    hit[order] = many[np.cumsum(first) - 1]
+    hit &= owner != SHARED
+    to, owner, prints = source[hit], owner[hit], prints[hit]
+    used, starts = np.unique(to, return_index=True)
+    ends = np.append(starts, len(to))[1:]
+    found = pa.table({
+        "part": own.column("part").take(pa.array(used)), "batch": own.column("batch").take(pa.array(used)),
+        "kind": pa.array(np.full(len(used), KNOWN, np.int32)),
+        "a": pa.array([prints[a:b].tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary()),
+        "b": pa.array([owner[a:b].tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary())})
+    return pa.concat_tables([passed, found])
+
+
+def _by_row(part_bits: int, enough: Callable | None) -> Callable:
+    def gather(table: pa.Table) -> pa.Table:
+        kind = table.column("kind").to_numpy()
+        own = table.filter(pa.array(kind == KEYS))
+        keys = np.ascontiguousarray(text_bytes(own.column("a"))[0]).view(np.int64)
+        notes = text_bytes(own.column("b"))[0].reshape(len(keys), -1)
+        known = table.filter(pa.array(kind == KNOWN))
+        data, at = text_bytes(known.column("a"))
+        part = np.repeat(known.column("part").to_numpy().astype(np.uint64), np.diff(at) // 4)
+        grams = np.ascontiguousarray(data).view(np.uint32).astype(np.uint64) << np.uint64(32 - part_bits)
+        grams |= part << np.uint64(64 - part_bits)
+        owner = np.ascontiguousarray(text_bytes(known.column("b"))[0]).view(np.uint32)
+        if enough is not None:
+            rows = enough(notes, np.bincount(owner, minlength=len(keys)))
+            grams, owner = grams[rows[owner]], owner[rows[owner]]
+        order = np.argsort(owner, kind="stable")
+        grams, owner = grams[order], owner[order]
+        used, starts = np.unique(owner, return_index=True)
+        ends = np.append(starts, len(owner))[1:]
+        return pa.table({"key": pa.array(keys[used], pa.int64()), "note": pa.array([x.tobytes() for x in notes[used]], pa.binary()),
+                         "grams": pa.array([grams[a:b].tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary())})
+
+    return gather
+
+
+def shared_grams(rows: DataFrame, grams_of: Callable, part_bits: int, enough: Callable | None = None) -> DataFrame:
+    """(key, note, grams) for the rows of (key, text) that have grams in common with another row.
+
+    ``grams_of(bytes, offsets)`` gives (row, gram) in ascending order of rows, and for each row as many
+    bytes of notes, which come back with it; ``enough(notes, counts)`` may say which rows have too few
+    shared grams to matter. ``grams`` are 64-bit little-endian values with the bits that
+    ``kept_bits`` names. Rows have to arrive in a fixed order within their partitions, as they do from a
+    scan or a sort, so that a repeated task cuts the same batches.
     """
     sent = rows.select("key", "text").mapInArrow(_sender(grams_of, part_bits), SENT)
-    back = sent.groupBy("part").applyInArrow(_matcher(part_bits), BACK)
-    return back.groupBy("batch").applyInArrow(_by_row, "key long, grams binary")
+    back = sent.groupBy("part").applyInArrow(_match, BACK)
+    return back.groupBy("batch").applyInArrow(_by_row(part_bits, enough), "key long, note binary, grams binary")
 
 
 def member(row: np.ndarray, grams: np.ndarray, part_bits: int, wanted: pa.Array) -> np.ndarray:
