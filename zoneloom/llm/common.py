@@ -209,7 +209,8 @@ def near_log(n: float, least: int, most: int) -> int:
     return int(min(most, max(least, 2 ** math.ceil(math.log2(max(1.0, n))))))
 
 
-def binary(arrays: list[np.ndarray]) -> pa.Array:
-    return pa.array([a.tobytes() for a in arrays], pa.binary())
-
-
+def blobs(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """A binary array whose row i has the bytes of values[cuts[i]:cuts[i + 1]]."""
+    values = np.ascontiguousarray(values)
+    offsets = (np.asarray(cuts, np.int64) * values.dtype.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(values.view(np.uint8))])

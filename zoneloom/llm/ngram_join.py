@@ -28,6 +28,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -75,6 +76,26 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["doc_id", "key", "n", "set_id"])
 
 
+CHUNK = 1 << 16
+COUNTS = "chunk int, origin int, slots binary, counts binary"
+
+
+def _packed(total: np.ndarray, origin: int) -> list[tuple]:
+    """The counters above 0, by chunks of 65,536 slots."""
+    out = []
+    for chunk in range(-(-len(total) // CHUNK)):
+        own = total[chunk * CHUNK : (chunk + 1) * CHUNK]
+        at = np.flatnonzero(own)
+        out.append((chunk, origin, at.astype(np.uint16).tobytes(), own[at].astype(np.int64).tobytes()))
+    return out
+
+
+def _rows_of(out: list[tuple]) -> pa.RecordBatch:
+    a, b, c, d = zip(*out, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.array(c, pa.binary()), pa.array(d, pa.binary())],
+                                      ["chunk", "origin", "slots", "counts"])
+
+
 def _counter(slots: int) -> Callable:
     shift = np.uint64(64 - int(math.log2(slots)))
 
@@ -84,22 +105,47 @@ def _counter(slots: int) -> Callable:
             for _, _, data, at in slices(b.column("text")):
                 _, h = word_shingles(data, at, SIZE)
                 total += np.bincount((h >> shift).astype(np.int64), minlength=slots)
-        at = np.flatnonzero(total)
-        for lo in range(0, len(at), 1 << 16):
-            some = at[lo : lo + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], ["slot", "n"])
+        yield _rows_of(_packed(total, TaskContext.get().partitionId()))
 
     return count
 
 
+def _added(table: pa.Table) -> np.ndarray:
+    total = np.zeros(CHUNK, np.int64)
+    for x, y in zip(table.column("slots").to_pylist(), table.column("counts").to_pylist(), strict=True):
+        total[np.frombuffer(x, np.uint16)] += np.frombuffer(y, np.int64)
+    return total
+
+
+def _add(table: pa.Table) -> pa.Table:
+    """One row for the rows of a chunk from 64 neighbouring origins."""
+    (_, _, slots, counts), = _packed(_added(table), 0)
+    chunk, origin = table.column("chunk")[0].as_py(), table.column("origin")[0].as_py() // 64
+    return pa.Table.from_batches([_rows_of([(chunk, origin, slots, counts)])])
+
+
+def _level(slots: int) -> Callable:
+    def level(table: pa.Table) -> pa.Table:
+        total = _added(table)[: min(CHUNK, slots)]
+        mean = total.mean()
+        high = np.flatnonzero(total > 1.25 * mean + 8)
+        found = np.minimum(255, 8 * np.log2(total[high] / (mean + 1) + 1) + 1)
+        return pa.table({"slot": pa.array(high + CHUNK * table.column("chunk")[0].as_py(), pa.int64()), "level": pa.array(found.astype(np.int32))})
+
+    return level
+
+
 def rarity(texts: DataFrame, slots: int) -> np.ndarray:
-    """How common the shingles of each slot are, as a level from 0: a table of fixed size."""
-    counted = texts.select("text").mapInArrow(_counter(slots), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    mean = (counted.agg(F.sum("n")).first()[0] or 0) / slots
-    high = counted.filter(F.col("n") > 1.25 * mean + 8).toPandas()  # at most 4 of 5 slots
+    """How common the shingles of each slot are, as a level from 0: a table of fixed size.
+
+    Counters are added up in a tree: 64 tasks, 4,096 tasks, all.
+    """
+    counted = texts.select("text").mapInArrow(_counter(slots), COUNTS)
+    for _ in range(2):
+        counted = counted.groupBy("chunk", F.floor(F.col("origin") / 64).alias("near")).applyInArrow(_add, COUNTS)
+    high = counted.groupBy("chunk").applyInArrow(_level(slots), "slot long, level int").toPandas()  # fewer than the slots
     levels = np.zeros(slots, np.uint8)
-    if len(high):
-        levels[high["slot"].to_numpy()] = np.minimum(255, 8 * np.log2(high["n"].to_numpy() / (mean + 1) + 1) + 1).astype(np.uint8)
+    levels[high["slot"].to_numpy(np.int64)] = high["level"].to_numpy(np.uint8)
     return levels
 
 

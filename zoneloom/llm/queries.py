@@ -10,6 +10,7 @@ from zoneloom.llm.ngram_join import near_groups
 from zoneloom.llm.packing import pack
 from zoneloom.llm.sharding import assign_shards
 from zoneloom.llm.simhash import fingerprint_documents
+from zoneloom.llm.suffix_dedup import repeated_strings
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +26,11 @@ def query(key: str, sql: str | None = None):
     return add
 
 
+@query("op1_suffix_dedup")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_strings(table(spark, folder, "documents"))
+
+
 @query("op4_exact_dedup", """
 WITH n AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,

@@ -16,13 +16,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from zoneloom.llm.common import slices, text_bytes
+from zoneloom.llm.common import blobs, slices, text_bytes
 
 BATCH_BYTES = 8 << 20
 SHARED = np.uint32(0xFFFFFFFF)
 SENT = "part int, batch long, kind int, a binary, b binary"  # of keys, b has what is noted of each row
 BACK = "part int, batch long, kind int, a binary, b binary"
-GRAM, KNOWN, KEYS = 0, 1, 2
+GRAM, KNOWN, KEYS, HOT = 0, 1, 2, 3
+HOT_BATCHES = 256
 
 
 def kept_bits(part_bits: int) -> np.uint64:
@@ -111,15 +112,26 @@ def _match(table: pa.Table) -> pa.Table:
     hit = np.zeros(len(order), bool)
     hit[order] = many[np.cumsum(first) - 1]
     hit &= owner != SHARED
-    to, owner, prints = source[hit], owner[hit], prints[hit]
-    used, starts = np.unique(to, return_index=True)
-    ends = np.append(starts, len(to))[1:]
-    found = pa.table({
-        "part": own.column("part").take(pa.array(used)), "batch": own.column("batch").take(pa.array(used)),
-        "kind": pa.array(np.full(len(used), KNOWN, np.int32)),
-        "a": pa.array([prints[a:b].tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary()),
-        "b": pa.array([owner[a:b].tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary())})
-    return pa.concat_tables([passed, found])
+    found = _sent(own, source[hit], KNOWN, prints[hit], owner[hit])
+    # a gram that hundreds of batches have: each of them is told
+    held = np.diff(np.append(starts, len(order)))
+    hot = np.zeros(len(order), bool)
+    hot[order] = (held >= HOT_BATCHES)[np.cumsum(first) - 1]
+    return pa.concat_tables([passed, found, _sent(own, source[hot], HOT, prints[hot], owner[hot])])
+
+
+def _sent(own: pa.Table, source: np.ndarray, kind: int, prints: np.ndarray, owner: np.ndarray) -> pa.Table:
+    used, starts = np.unique(source, return_index=True)
+    cuts = np.append(starts, len(source))
+    return pa.table({"part": own.column("part").take(pa.array(used)), "batch": own.column("batch").take(pa.array(used)),
+                     "kind": pa.array(np.full(len(used), kind, np.int32)), "a": blobs(prints, cuts), "b": blobs(owner, cuts)})
+
+
+def _grams_in(table: pa.Table, part_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    data, at = text_bytes(table.column("a"))
+    part = np.repeat(table.column("part").to_numpy().astype(np.uint64), np.diff(at) // 4)
+    grams = np.ascontiguousarray(data).view(np.uint32).astype(np.uint64) << np.uint64(32 - part_bits)
+    return grams | (part << np.uint64(64 - part_bits)), np.ascontiguousarray(text_bytes(table.column("b"))[0]).view(np.uint32)
 
 
 def _by_row(part_bits: int, enough: Callable | None) -> Callable:
@@ -128,37 +140,34 @@ def _by_row(part_bits: int, enough: Callable | None) -> Callable:
         own = table.filter(pa.array(kind == KEYS))
         keys = np.ascontiguousarray(text_bytes(own.column("a"))[0]).view(np.int64)
         notes = text_bytes(own.column("b"))[0].reshape(len(keys), -1)
-        known = table.filter(pa.array(kind == KNOWN))
-        data, at = text_bytes(known.column("a"))
-        part = np.repeat(known.column("part").to_numpy().astype(np.uint64), np.diff(at) // 4)
-        grams = np.ascontiguousarray(data).view(np.uint32).astype(np.uint64) << np.uint64(32 - part_bits)
-        grams |= part << np.uint64(64 - part_bits)
-        owner = np.ascontiguousarray(text_bytes(known.column("b"))[0]).view(np.uint32)
+        grams, owner = _grams_in(table.filter(pa.array(kind == KNOWN)), part_bits)
         if enough is not None:
             rows = enough(notes, np.bincount(owner, minlength=len(keys)))
             grams, owner = grams[rows[owner]], owner[rows[owner]]
         order = np.argsort(owner, kind="stable")
         grams, owner = grams[order], owner[order]
         used, starts = np.unique(owner, return_index=True)
-        ends = np.append(starts, len(owner))[1:]
-        return pa.table({"key": pa.array(keys[used], pa.int64()), "note": pa.array([x.tobytes() for x in notes[used]], pa.binary()),
-                         "grams": pa.array([grams[a:b].tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary())})
+        often = np.isin(grams, _grams_in(table.filter(pa.array(kind == HOT)), part_bits)[0])
+        return pa.table({
+            "key": pa.array(keys[used], pa.int64()), "note": blobs(notes[used].ravel(), np.arange(len(used) + 1) * notes.shape[1]),
+            "grams": blobs(grams, np.append(starts, len(owner))),
+            "hot": blobs(grams[often], np.searchsorted(owner[often], np.append(used, 1 << 32)))})
 
     return gather
 
 
 def shared_grams(rows: DataFrame, grams_of: Callable, part_bits: int, enough: Callable | None = None) -> DataFrame:
-    """(key, note, grams) for the rows of (key, text) that have grams in common with another row.
+    """(key, note, grams, hot) for the rows of (key, text) that have grams in common with another row.
 
     ``grams_of(bytes, offsets)`` gives (row, gram) in ascending order of rows, and for each row as many
     bytes of notes, which come back with it; ``enough(notes, counts)`` may say which rows have too few
-    shared grams to matter. ``grams`` are 64-bit little-endian values with the bits that
+    shared grams to matter. ``hot`` are those of the grams that at least 256 batches have. Grams are 64-bit little-endian values with the bits that
     ``kept_bits`` names. Rows have to arrive in a fixed order within their partitions, as they do from a
     scan or a sort, so that a repeated task cuts the same batches.
     """
     sent = rows.select("key", "text").mapInArrow(_sender(grams_of, part_bits), SENT)
     back = sent.groupBy("part").applyInArrow(_match, BACK)
-    return back.groupBy("batch").applyInArrow(_by_row(part_bits, enough), "key long, note binary, grams binary")
+    return back.groupBy("batch").applyInArrow(_by_row(part_bits, enough), "key long, note binary, grams binary, hot binary")
 
 
 def member(row: np.ndarray, grams: np.ndarray, part_bits: int, wanted: pa.Array) -> np.ndarray:
