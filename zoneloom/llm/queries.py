@@ -6,11 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from zoneloom.llm.common import table
 from zoneloom.llm.exact_dedup import exact_duplicates
+from zoneloom.llm.language import identify
 from zoneloom.llm.ngram_join import near_groups
 from zoneloom.llm.packing import pack
+from zoneloom.llm.pieces import encoded_digests
+from zoneloom.llm.quality import score_documents
 from zoneloom.llm.sharding import assign_shards
 from zoneloom.llm.simhash import fingerprint_documents
 from zoneloom.llm.suffix_dedup import repeated_strings
+from zoneloom.llm.url_filter import judge
+
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -58,3 +64,23 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_ngram_join")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return near_groups(table(spark, folder, "documents"))
+
+
+@query("op2_language")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return identify(table(spark, folder, "documents"))
+
+
+@query("op3_url_filter")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return judge(table(spark, folder, "pages"))
+
+
+@query("op8_pieces")
+def op8(spark: SparkSession, folder: str, vocabulary: str = VOCABULARY) -> DataFrame:
+    return encoded_digests(table(spark, folder, "documents"), vocabulary)
+
+
+@query("op9_quality")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return score_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
