@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zoneloom.llm.common import mix, n_partitions
+from zoneloom.llm.common import mix, n_partitions, small_batches
 from zoneloom.session import settle
 
 
@@ -178,6 +178,7 @@ def classes(rows: DataFrame, shards: int | None = None) -> DataFrame:
 
 
 def _judged(docs: DataFrame, incoming) -> DataFrame:
+    small_batches(docs.sparkSession)
     if incoming is None:
         incoming = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(2)) == 1
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", incoming.alias("incoming"))

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from zoneloom.llm.common import LOWER, slices, text_bytes
+from zoneloom.llm.common import LOWER, slices, small_batches, text_bytes
 
 ORDERS = 4
 ROWS = 1 << 16
@@ -180,6 +180,7 @@ def _predictor(model: Model | None) -> Callable:
 
 def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """The language of every text, trained from the documents themselves unless a model is given."""
+    small_batches(docs.sparkSession)
     model = model or fit(docs)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text")
     return rows.mapInArrow(_predictor(model), "doc_id long, held_out boolean, lang_pred string, score double, accepted boolean")

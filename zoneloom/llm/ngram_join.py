@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zoneloom.llm.common import components, mix, n_partitions, near_log, slices, text_bytes, word_shingles
+from zoneloom.llm.common import components, mix, n_partitions, near_log, slices, small_batches, text_bytes, word_shingles
 from zoneloom.llm.screen import kept_bits, shared_grams
 from zoneloom.session import settle
 
@@ -396,6 +396,7 @@ def _prefixes(levels: np.ndarray) -> Callable:
 
 def near_groups(docs: DataFrame, token_block: int = TOKEN_BLOCK, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     part_bits = int(math.log2(near_log(n_partitions(spark), 2, 1 << 20)))
     slots = near_log(4096 * n_partitions(spark), 1 << 14, 1 << 22)

@@ -28,10 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zoneloom.llm.common import LETTERS, BASE, BASE_INVERSE, kept_powers, mix, slices, text_bytes
+from zoneloom.llm.common import BASE, BASE_INVERSE, LETTERS, kept_powers, mix, slices, small_batches, text_bytes
 
 MARK = "▁"
 BATCH_BYTES = 12 << 20
+INDEX_BYTES = 1 << 18
 WIDEST = 48  # characters in a segment that is contracted side by side with others
 REACH = 64  # bytes that a piece has at most
 CODES = 128  # for keys of an edge: position times this plus length
@@ -41,8 +42,9 @@ class Vocabulary:
     """Pieces as bytes with spaces for marks, their scores, and the ids of bytes and of the unknown."""
 
     def __init__(self, pieces: list[bytes], scores: list[float], bytes_at: list[int], unknown: int, plain: list[bool]):
-        self.pieces, self.scores = pieces, np.array(scores, np.float64)
+        self.pieces, self.scores = pieces, np.array(scores, np.float32)
         self.bytes_at, self.unknown = bytes_at, unknown
+        self.scores[~np.array(plain, bool)] = -np.inf
         order = sorted((i for i, ok in enumerate(plain) if ok), key=lambda i: pieces[i])
         self.order = np.array(order, np.int32)
         self.sorted = [pieces[i] for i in order]
@@ -69,30 +71,47 @@ class Vocabulary:
 # ---- index and lattice
 
 
-def suffix_keys(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(suffixes in order, their first 8 bytes as one number); the order goes by the first 64 bytes."""
-    n = len(text)
-    padded = np.concatenate([text, np.zeros(8, np.uint8)]).astype(np.uint64)
-    first = np.zeros(n, np.uint64)
+def _eight(padded: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The 8 bytes from each place as one number."""
+    out = np.zeros(len(at), np.uint64)
     for k in range(8):
-        first |= padded[k : n + k] << np.uint64(56 - 8 * k)
-    key, k = first, 8
-    while True:
-        order = np.argsort(key)
-        fresh = np.zeros(n, np.int64)
-        fresh[1:] = key[order][1:] != key[order][:-1]
-        rank = np.empty(n, np.uint64)
-        rank[order] = (np.cumsum(fresh) + 1).astype(np.uint64)
-        if k >= REACH or (n and fresh[1:].all()):
-            return order.astype(np.int64), first[order]
-        after = np.zeros(n, np.uint64)
-        after[: max(0, n - k)] = rank[k:]
-        key, k = (rank << np.uint64(32)) | after, 2 * k
-
-
-def occurrences(text: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        out |= padded[at + k].astype(np.uint64) << np.uint64(56 - 8 * k)
+    return out
+
+
+def suffix_order(text: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(suffixes in order of the ``left`` bytes up to the end of their segment, their first 8 bytes as one number).
+
+    Sorted by 8 bytes; groups of equals are sorted further, 8 bytes at a time, as far as segments reach.
+    """
+    n = len(text)
+    padded = np.concatenate([text, np.zeros(REACH + 8, np.uint8)])
+    # bytes behind a segment do not count
+    cover = np.append(np.array([((1 << 64) - 1) ^ ((1 << (64 - 8 * k)) - 1) for k in range(8)], np.uint64), np.uint64((1 << 64) - 1))
+    first = _eight(padded, np.arange(n)) & cover[np.minimum(left, 8)]
+    order = np.argsort(first)
+    sorted_first = first[order]
+    group = np.cumsum(np.append(False, sorted_first[1:] != sorted_first[:-1]))
+    slots = np.arange(n)
+    for k in range(8, REACH, 8):
+        where = order[slots]
+        go = left[where] > k
+        slots, where, group = slots[go], where[go], group[go]
+        size = np.bincount(group, minlength=1)[group] if len(group) else group
+        slots, where, group = slots[size > 1], where[size > 1], group[size > 1]
+        if not len(slots):
+            break
+        key = _eight(padded, where + k) & cover[np.minimum(left[where] - k, 8)]
+        by = np.lexsort((key, group))
+        order[slots] = where[by]
+        key, group = key[by], group[by]
+        group = np.cumsum(np.append(False, (key[1:] != key[:-1]) | (group[1:] != group[:-1])))
+    return order, sorted_first
+
+
+def occurrences(text: np.ndarray, left: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(position, length, piece) of every occurrence of every piece, sorted by position and length."""
-    order, first = suffix_keys(text)
+    order, first = suffix_order(text, left)
     size = np.array([len(p) for p in vocabulary.sorted], np.int64)
     heads = np.frombuffer(b"".join(p[:8].ljust(8, b"\0") for p in vocabulary.sorted), ">u8").astype(np.uint64)
     short = np.minimum(size, 8)
@@ -100,12 +119,6 @@ def occurrences(text: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, n
     lo, hi = np.searchsorted(first, heads, "left"), np.searchsorted(first, heads | spare, "right")
     padded = np.concatenate([text, np.zeros(REACH + 8, np.uint8)])
 
-    def part(p: np.ndarray, k: int) -> np.ndarray:
-        out = np.zeros(len(p), np.uint64)
-        for j in range(8):
-            out |= padded[p + k + j].astype(np.uint64) << np.uint64(56 - 8 * j)
-        return out
-
     # longer pieces: the range narrows by the next 8 bytes, by binary search in all ranges at once
     for k in range(8, REACH, 8):
         long = np.flatnonzero((size > k) & (hi > lo))
@@ -120,7 +133,7 @@ def occurrences(text: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, n
             while (a < b).any():
                 open_ = np.flatnonzero(a < b)
                 mid = (a[open_] + b[open_]) // 2
-                have = part(order[mid], k)
+                have = _eight(padded, order[mid] + k)
                 up = have <= goal[open_] if strict else have < goal[open_]
                 a[open_[up]], b[open_[~up]] = mid[up] + 1, mid[~up]
             ends.append(a)
@@ -129,7 +142,7 @@ def occurrences(text: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, n
     at = np.repeat(lo, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
     position, length, piece = order[at], np.repeat(size, times), np.repeat(vocabulary.order, times)
     by = np.argsort(position * CODES + length)
-    return position[by], length[by], piece[by]
+    return position[by], length[by].astype(np.int32), piece[by]
 
 
 # ---- relaxation by merge order
@@ -144,7 +157,7 @@ def contract(begin: np.ndarray, close: np.ndarray, look: Callable) -> np.ndarray
     begin, close = begin.copy(), close.copy()
     count = (begin >= 0).sum(axis=1)
     out_begin, out_close = np.full((n, w), -1, np.int64), np.full((n, w), -1, np.int64)
-    score = np.full((n, w), -np.inf)
+    score = np.full((n, w), -np.inf, np.float32)
     pairs = begin[:, 1:] >= 0
     score[:, :-1][pairs] = look(begin[:, :-1][pairs], close[:, 1:][pairs])
     who = np.arange(n)
@@ -202,25 +215,48 @@ def contract_one(ends: list[int], score: Callable) -> list[tuple[int, int]]:
     return [(begin[i], close[i]) for i in range(len(ends)) if alive[i]]
 
 
-def encode_segments(segments: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, cuts): the ids of segment i are ids[cuts[i]:cuts[i + 1]]."""
-    if not segments:
-        return np.zeros(0, np.int32), np.zeros(1, np.int64)
+def encode_segments(segments: list[bytes], vocabulary: Vocabulary, limit: int = INDEX_BYTES) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, cuts): the ids of segment i are ids[cuts[i]:cuts[i + 1]]; an index for every ``limit`` bytes."""
+    ends = np.append(0, np.cumsum(np.array([len(s) for s in segments], np.int64)))
+    ids, sizes, lo = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], 0
+    while lo < len(segments):
+        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + limit, "right")) - 1)
+        found, cuts = _indexed(segments[lo:hi], vocabulary)
+        ids.append(found)
+        sizes.append(np.diff(cuts))
+        lo = hi
+    return np.concatenate(ids), np.append(0, np.cumsum(np.concatenate(sizes)))
+
+
+def _indexed(segments: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     text = np.frombuffer(b"\n".join(segments) + b"\n", np.uint8)  # the byte between is in no piece that could match across
     size = np.array([len(s) for s in segments], np.int64)
     base = np.append(0, np.cumsum(size + 1))
-    position, length, piece = occurrences(text, vocabulary)
-    keys = position * CODES + length
-    scores = vocabulary.scores[piece]
+    position, length, piece = occurrences(text, np.repeat(base[1:], size + 1) - 1 - np.arange(len(text)), vocabulary)
+    edges = np.append(0, np.cumsum(np.bincount(position, minlength=len(text)))).astype(np.int32)  # of each position
+    del position
+    length = np.append(length, np.int32(0))
+    scores = vocabulary.scores[np.append(piece, 0)]
 
     def find(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        goal = begin * CODES + np.minimum(end - begin, CODES - 1)
-        at = np.minimum(np.searchsorted(keys, goal), max(0, len(keys) - 1))
-        return np.where(keys[at] == goal, at, -1) if len(keys) else np.full(len(goal), -1)
+        """The edge over each span, or -1: a few steps along the edges of its position."""
+        span = (end - begin).astype(np.int32)
+        at, stop = edges[begin], edges[begin + 1]
+        found = np.full(len(begin), -1, np.int32)
+        left = np.arange(len(begin), dtype=np.int32)
+        while len(left):
+            open_ = at < stop
+            left, at, stop, span = left[open_], at[open_], stop[open_], span[open_]
+            have = length[at]
+            hit = have == span
+            found[left[hit]] = at[hit]
+            more = have < span
+            left, at, stop, span = left[more], at[more] + 1, stop[more], span[more]
+        return found
 
     def look(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         at = find(begin, end)
-        return np.where(at >= 0, scores[at], -np.inf) if len(keys) else np.full(len(begin), -np.inf)
+        return np.where(at >= 0, scores[at], -np.inf)
 
     lead = (text & 0xC0) != 0x80
     lead[base[1:] - 1] = False  # between segments
@@ -248,10 +284,10 @@ def encode_segments(segments: list[bytes], vocabulary: Vocabulary) -> tuple[np.n
         low, n = int(base[i]), int(count[i])
 
         def one(b: int, e: int, low: int = low) -> float | None:
-            if e - b > REACH:
-                return None
-            k = int(np.searchsorted(keys, (low + b) * CODES + e - b))
-            return float(scores[k]) if k < len(keys) and keys[k] == (low + b) * CODES + e - b else None
+            for k in range(edges[low + b], edges[low + b + 1]):
+                if length[k] == e - b:
+                    return float(scores[k])
+            return None
 
         found = np.array(contract_one((last[first[i] : first[i] + n] - low).tolist(), one), np.int64)
         spans_b.append(found[:, 0] + low)
@@ -261,7 +297,7 @@ def encode_segments(segments: list[bytes], vocabulary: Vocabulary) -> tuple[np.n
     by = np.argsort(b)
     b, e, o = b[by], e[by], o[by]
     at = find(b, e)
-    ids = np.where(at >= 0, piece[np.maximum(at, 0)], -1) if len(piece) else np.full(len(b), -1)
+    ids = np.where(at >= 0, np.append(piece, 0)[at], -1)
     # characters that are no piece: one id a byte
     times = np.where(ids >= 0, 1, e - b)
     spread = np.repeat(np.arange(len(b)), times)
@@ -359,6 +395,7 @@ def _encoder(vocabulary: Vocabulary, digest: bool) -> Callable:
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids) of every text."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(_encoder(Vocabulary.load(path), False), "doc_id long, ids array<int>")
 
@@ -377,5 +414,6 @@ def decode(rows: DataFrame, path: str) -> DataFrame:
 
 def encoded_digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_pieces, SHA-256 of the ids as 32-bit little-endian numbers, and whether decoding gives the text."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(_encoder(Vocabulary.load(path), True), "doc_id long, n_pieces long, ids_sha256 string, exact boolean")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zoneloom.llm.common import WHITE, slices, word_hashes, words
+from zoneloom.llm.common import WHITE, slices, small_batches, word_hashes, words
 
 KINDS = 12
 SLOTS = 64  # of hashed metadata values
@@ -168,6 +168,7 @@ def _figures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, labelled: int = 6_000, pool: int = 6_000) -> CoTrained | None:
+    small_batches(docs.sparkSession)
     rows = _rows(docs)
     known = (labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("quality").cast("int").alias("good"))
              .filter("_id is not null and good in (0, 1)").groupBy("_id").agg(F.max("good").alias("good")))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zoneloom.llm.common import mix, n_partitions, text_bytes, word_shingles
+from zoneloom.llm.common import mix, n_partitions, small_batches, text_bytes, word_shingles
 from zoneloom.session import settle
 
 BITS = 128
@@ -96,6 +96,7 @@ def _walk(batches: Iterator[pa.RecordBatch], limit: int = 1 << 20) -> Iterator[p
 
 def fingerprint_next(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edited text, with the likeness to that and to the next."""
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     ranges = 2 * n_partitions(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
