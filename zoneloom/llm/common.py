@@ -18,7 +18,7 @@ from zoneloom.session import settle
 # functions that run in Python workers travel by value, so executors need no copy of the package
 cloudpickle.register_pickle_by_value(zoneloom)
 
-SLICE_BYTES = 1 << 19
+SLICE_BYTES = 1 << 16
 LETTERS = np.random.default_rng(20240611).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 MULTIPLIERS = (np.random.default_rng(77).integers(1, 1 << 62, 64, dtype=np.uint64) << np.uint64(2)) + np.uint64(3)
 
@@ -64,11 +64,11 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
 
 
 def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Rows lo..hi of a batch with at most ``limit`` bytes, or one longer row: their bytes and offsets."""
+    """Rows lo..hi of a batch with at most ``limit`` bytes and 8,192 rows, or one longer row: their bytes and offsets."""
     data, at = text_bytes(column)
     lo, n = 0, len(at) - 1
     while lo < n:
-        hi = max(lo + 1, int(np.searchsorted(at, at[lo] + limit, "right")) - 1)
+        hi = min(lo + 8_192, max(lo + 1, int(np.searchsorted(at, at[lo] + limit, "right")) - 1))
         yield lo, hi, data[at[lo] : at[hi]], at[lo : hi + 1] - at[lo]
         lo = hi
 

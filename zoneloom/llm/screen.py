@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame
 from zoneloom.llm.common import blobs, slices, text_bytes
 
 BATCH_BYTES = 8 << 20
-SHARED = np.uint32(0xFFFFFFFF)
+SHARED = np.uint16(0xFFFF)
+BATCH_ROWS = 60_000
 SENT = "part int, batch long, kind int, a binary, b binary"  # of keys, b has what is noted of each row
 BACK = "part int, batch long, kind int, a binary, b binary"
 GRAM, KNOWN, KEYS, HOT = 0, 1, 2, 3
@@ -56,12 +57,12 @@ def _sender(grams_of: Callable, part_bits: int) -> Callable:
         several = length[run] > 1 if len(run) else np.zeros(0, bool)
         lone = h[first]
         prints, edges = _prints(lone, part_bits), _part_edges(lone, part_bits)
-        owner = np.where(length > 1, SHARED, r[first].astype(np.uint32))
+        owner = np.where(length > 1, SHARED, r[first].astype(np.uint16))
         out = [(p, number, GRAM, prints[a:b].tobytes(), owner[a:b].tobytes())
                for p, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if b > a]
         home = number % parts
         out.append((home, number, KEYS, np.concatenate(keys).tobytes(), np.concatenate(notes).tobytes()))
-        h, r = h[several], r[several].astype(np.uint32)
+        h, r = h[several], r[several].astype(np.uint16)
         prints, edges = _prints(h, part_bits), _part_edges(h, part_bits)
         out += [(p, number, KNOWN, prints[a:b].tobytes(), r[a:b].tobytes())
                 for p, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if b > a]
@@ -76,6 +77,9 @@ def _sender(grams_of: Callable, part_bits: int) -> Callable:
         for b in batches:
             own = b.column("key").to_numpy(zero_copy_only=False)
             for lo, hi, data, at in slices(b.column("text")):
+                if n + hi - lo > BATCH_ROWS:
+                    yield flush(number, keys, notes, rows, grams)
+                    keys, notes, rows, grams, n, size, number = [], [], [], [], 0, 0, number + 1
                 row, h, note = grams_of(data, at)
                 keys.append(own[lo:hi])
                 notes.append(note)
@@ -100,7 +104,7 @@ def _match(table: pa.Table) -> pa.Table:
         return passed
     data, at = text_bytes(own.column("a"))
     prints = np.ascontiguousarray(data).view(np.uint32)
-    owner = np.ascontiguousarray(text_bytes(own.column("b"))[0]).view(np.uint32)
+    owner = np.ascontiguousarray(text_bytes(own.column("b"))[0]).view(np.uint16)
     source = np.repeat(np.arange(own.num_rows, dtype=np.int32), np.diff(at) // 4)
     order = np.argsort(prints, kind="stable")
     sorted_prints = prints[order]
@@ -131,7 +135,7 @@ def _grams_in(table: pa.Table, part_bits: int) -> tuple[np.ndarray, np.ndarray]:
     data, at = text_bytes(table.column("a"))
     part = np.repeat(table.column("part").to_numpy().astype(np.uint64), np.diff(at) // 4)
     grams = np.ascontiguousarray(data).view(np.uint32).astype(np.uint64) << np.uint64(32 - part_bits)
-    return grams | (part << np.uint64(64 - part_bits)), np.ascontiguousarray(text_bytes(table.column("b"))[0]).view(np.uint32)
+    return grams | (part << np.uint64(64 - part_bits)), np.ascontiguousarray(text_bytes(table.column("b"))[0]).view(np.uint16)
 
 
 def _by_row(part_bits: int, enough: Callable | None) -> Callable:
@@ -176,4 +180,8 @@ def member(row: np.ndarray, grams: np.ndarray, part_bits: int, wanted: pa.Array)
     values = np.ascontiguousarray(data).view(np.uint64)
     owner = np.repeat(np.arange(len(at) - 1, dtype=np.uint64), np.diff(at) // 8)
     odd = np.uint64(0x9E3779B97F4A7C15)
-    return np.isin((grams & kept_bits(part_bits)) + row.astype(np.uint64) * odd, values + owner * odd)
+    goal = np.sort(values + owner * odd)
+    own = (grams & kept_bits(part_bits)) + row.astype(np.uint64) * odd
+    if not len(goal):
+        return np.zeros(len(own), bool)
+    return goal[np.minimum(np.searchsorted(goal, own), len(goal) - 1)] == own
