@@ -16,10 +16,10 @@ ROW = (
     "<td> some day </td><td>{size}</td></tr>"
 )
 ROWS = [
-    ("25001C", "MASSACHUSETTS", "BARNSTABLE COUNTY", "20210716", "33MB"),
-    ("250156", "MASSACHUSETTS", " TOWN OF AMHERST", "20190102", "1.5MB"),
-    ("22103C", "LOUISIANA", "ST. TAMMANY PARISH", "20230401", "1.2GB"),
-    ("72000C", "PUERTO RICO", "PUERTO RICO TERRITORY-WIDE", "20200101", "900KB"),
+    ("39049C", "OHIO", "FRANKLIN COUNTY", "20181203", "47MB"),
+    ("390170", "OHIO", " CITY OF HILLIARD", "20170511", "2.5MB"),
+    ("22095C", "LOUISIANA", "ST. JOHN PARISH", "20220914", "1.4GB"),
+    ("66000C", "GUAM", "GUAM TERRITORY-WIDE", "20160727", "700KB"),
     ("24033C", "MARYLAND", "PRINCE GEORGE'S COUNTY", "20200229", "20 mb"),
     ("99999C", "ATLANTIS", "NOWHERE COUNTY", "20200229", "20MB"),
 ]
@@ -37,18 +37,18 @@ def records(spark, **options):
 def test_catalog_page(spark):
     got = {r.county: r for r in records(spark).collect()}
     assert set(got) == {
-        "Barnstable", "St. Tammany", "Puerto Rico Territory-Wide", "Prince George'S"
+        "Franklin", "St. John", "Guam Territory-Wide", "Prince George'S"
     }
-    first = got["Barnstable"]
-    assert first.state == "MA" and first.zip_size_mb == 33.0
-    assert first.fema_update_date == dt.date(2021, 7, 16)
-    assert first.zip_name == "25001C_20210716.zip" and "%20" in first.url
-    assert got["St. Tammany"].zip_size_mb == 1.2 * 1024
-    assert got["Puerto Rico Territory-Wide"].zip_size_mb == 900 / 1024
+    first = got["Franklin"]
+    assert first.state == "OH" and first.zip_size_mb == 47.0
+    assert first.fema_update_date == dt.date(2018, 12, 3)
+    assert first.zip_name == "39049C_20181203.zip" and "%20" in first.url
+    assert got["St. John"].zip_size_mb == 1.4 * 1024
+    assert got["Guam Territory-Wide"].zip_size_mb == 700 / 1024
 
 
 def test_catalog_filters(spark):
-    assert records(spark, state="ma", county="barnstable").count() == 1
+    assert records(spark, state="oh", county="franklin").count() == 1
     assert records(spark, county_wide_only=False).count() == 5
 
 
@@ -77,7 +77,7 @@ def test_risk_classes(spark):
         ("OPEN WATER", None): "water", (None, None): "unmapped",
     }
     rows = [
-        (i, "f", "d", z, s, None, "-9999", None, "MA", "c", dt.date(2020, 1, 1), want)
+        (i, "f", "d", z, s, None, "-9999", None, "OH", "c", dt.date(2020, 1, 1), want)
         for i, ((z, s), want) in enumerate(cases.items())
     ]
     df = spark.createDataFrame(
@@ -115,9 +115,9 @@ def feed_rows(spark, rows):
 
 def test_upsert_resets_only_newer(spark):
     d = dt.date
-    log = log_rows(spark, [("MA", c, d(2020, 1, 1), "silver", 7) for c in ("old", "same", "new")])
-    feed = feed_rows(spark, [("MA", "old", d(2019, 1, 1)), ("MA", "same", d(2020, 1, 1)),
-                             ("MA", "new", d(2021, 1, 1)), ("MA", "more", d(2021, 1, 1))])
+    log = log_rows(spark, [("OH", c, d(2020, 1, 1), "silver", 7) for c in ("old", "same", "new")])
+    feed = feed_rows(spark, [("OH", "old", d(2019, 1, 1)), ("OH", "same", d(2020, 1, 1)),
+                             ("OH", "new", d(2021, 1, 1)), ("OH", "more", d(2021, 1, 1))])
     got = {r.county: r for r in K.upsert(log, feed).collect()}
     assert {c: r.status for c, r in got.items()} == {
         "old": "silver", "same": "silver", "new": "new", "more": "new"
@@ -130,7 +130,7 @@ def test_upsert_resets_only_newer(spark):
 
 
 def test_one_failure_stops_nobody(spark):
-    log = log_rows(spark, [("MA", c, dt.date(2020, 1, 1), "new", None) for c in ("a", "b")])
+    log = log_rows(spark, [("OH", c, dt.date(2020, 1, 1), "new", None) for c in ("a", "b")])
 
     def work(units):
         bad = F.col("county") == "b"
@@ -146,17 +146,17 @@ def test_one_failure_stops_nobody(spark):
 
 def test_log_store_keeps_versions(spark, tmp_path):
     store = K.LogStore(spark, str(tmp_path / "log"))
-    log = log_rows(spark, [("MA", "a", dt.date(2020, 1, 1), "new", None)])
+    log = log_rows(spark, [("OH", "a", dt.date(2020, 1, 1), "new", None)])
     store.save(log.drop("zip_name"), 1)
     store.save(store.load().withColumn("status", F.lit("bronze")), 2)
     assert store.last_version() == 2 and store.load().first().status == "bronze"
 
 
 def test_scope_refuses_and_suggests(spark):
-    log = log_rows(spark, [("MA", c, dt.date(2020, 1, 1), "new", None) for c in "abc"])
+    log = log_rows(spark, [("OH", c, dt.date(2020, 1, 1), "new", None) for c in "abc"])
     log = log.withColumn("zip_size_mb", F.length("county") * F.ascii("county").cast("double"))
     try:
-        K.scope(log, "MA")
+        K.scope(log, "OH")
     except K.ScopeRefused as refused:
         assert [r.county for r in refused.picks.orderBy("pick").collect()] == ["a", "b"]
     else:

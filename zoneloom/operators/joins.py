@@ -7,6 +7,8 @@ they are refined into smaller cells and, where even those stay hot, split on bot
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from zoneloom.session import settle
 
 CELL = ["ci", "cj"]
 HOT_ROWS = 1_000_000  # rows of one cell that one task may hold
+NAMED_CELLS = 4096  # of a viewport, named in its filter
 HOT_KEYS = 4096  # a cell below the 4096 fullest holds less than 1/4096 of all rows
 REFINE = 8
 MAX_REFINEMENTS = 4
@@ -305,17 +308,22 @@ def read_viewport(
 ) -> DataFrame:
     """Pieces in a viewport, one row per piece although it may sit in several cells.
 
-    Only cells that exist and overlap the box are scanned: the cell filter prunes partitions
-    and the box predicate row groups. ``hide`` leaves out one risk class.
+    Only cells that overlap the box are scanned: their names are literals, up to ``NAMED_CELLS`` of
+    them, so that partitions are pruned when the scan is planned; a larger box joins its cells. The
+    box predicate prunes row groups. ``hide`` leaves out one risk class.
     """
-    cells = box_cells(layout.sparkSession, box, size)
     view = R.envelope(*box)
     b = F.col("bbox")
     # literal bounds reach the Parquet reader
     near = (b["xmin"] <= box[2]) & (b["xmax"] >= box[0]) & (b["ymin"] <= box[3]) & (
         b["ymax"] >= box[1]
     )
-    rows = layout.where(near).join(cells, "cell", "left_semi")
+    across = range(math.floor(box[0] / size), math.floor(box[2] / size) + 1)
+    along = range(math.floor(box[1] / size), math.floor(box[3] / size) + 1)
+    if len(across) * len(along) <= NAMED_CELLS:
+        rows = layout.where(near & F.col("cell").isin([f"{i}_{j}" for i in across for j in along]))
+    else:
+        rows = layout.where(near).join(box_cells(layout.sparkSession, box, size), "cell", "left_semi")
     if hide:
         rows = rows.where(F.col("risk") != hide)
     rows = rows.where(R.intersects_box(R.edges(F.col("rings")), view))

@@ -7,10 +7,11 @@ import json
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from zoneloom.functions import grid as G
 from zoneloom.functions import rings as R
-from zoneloom.operators.joins import hottest, with_edges
+from zoneloom.operators.joins import with_edges
 from zoneloom.operators.reports import extent
 from zoneloom.session import settle, ship_kernels
 
@@ -23,6 +24,7 @@ GLOBAL_GROUP = 20_000
 # layers that are rewritten all the time: the published level saves 3 percent of the bytes and
 # takes several times as long, most of all on many small files
 LAYER_LEVEL = 3
+SLICE = 1 << 20  # curve positions that are numbered by one task
 ROWS_PER_FILE = 5_000_000  # above this a unit or cell is spread over several files
 WORLD = (-180.0, -90.0, 180.0, 90.0)
 
@@ -53,36 +55,38 @@ def write_parquet(
 def _write_grouped(
     df, path, keys, order, group_rows, rows_per_file, mode, sizes=None, **options
 ) -> None:
-    """One file per key; a key with more than ``rows_per_file`` rows gets several, by range.
+    """One file per key; a key of ``n`` rows above ``rows_per_file`` gets ``ceil(n / rows_per_file)``.
 
-    ``sizes`` holds ``keys, n`` when that is cheaper to know than to count ``df``, which may be
-    the outcome of a kernel; an estimate will do.
+    ``sizes`` holds ``keys, n`` when that is cheaper to know than to count ``df``, which may be the
+    outcome of a kernel. It only says which keys are numbered, so an upper bound will do: files are
+    filled by the rows there are.
     """
-    sort = [*keys, *order]
     # an explicit number: small input must not end up in one task that writes every file
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = hottest(df, keys, rows_per_file, sizes)
-    if hot.isEmpty():
-        cold, dense = df, None
+    if sizes is None:
+        sizes = df.groupBy(*keys).agg(F.count("*").alias("n"))
+    large = settle(sizes.where(F.col("n") > rows_per_file).select(*keys))
+    if large.isEmpty():
+        numbered = df.withColumn("_file", F.lit(0).cast("long"))
     else:
-        hot = settle(hot)
-        cold = df.join(F.broadcast(hot), keys, "left_anti").select(*df.columns)
-        dense = df.join(F.broadcast(hot), keys, "left_semi").select(*df.columns)
+        marked = df.join(large.withColumn("_large", F.lit(True)), keys, "left")
+        # rows are numbered within slices of the curve; a slice starts where those before it end
+        piece = F.floor(F.col(order[0]) / SLICE) if order else F.pmod(F.xxhash64(*df.columns), F.lit(4096))
+        slices = marked.where("_large").withColumn("_slice", piece)
+        counts = slices.groupBy(*keys, "_slice").agg(F.count("*").alias("_n"))
+        before = W.partitionBy(*keys).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+        starts = counts.select(*keys, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+        # rows equal in the order columns are told apart by a hash of the whole row
+        own = W.partitionBy(*keys, "_slice").orderBy(*order, F.xxhash64(*df.columns))
+        place = F.row_number().over(own) - 1 + F.col("_start")
+        spread = slices.join(starts, [*keys, "_slice"]).select(*df.columns, F.floor(place / rows_per_file).alias("_file"))
+        whole = marked.where("_large is null").select(*df.columns, F.lit(0).cast("long").alias("_file"))
+        numbered = whole.unionByName(spread)
+    # files of one key that meet in a task are full but for the last, so the limit cuts between them
     write_parquet(
-        cold.repartition(tasks, *keys).sortWithinPartitions(*sort),
-        path, keys, group_rows, mode, **options,
+        numbered.repartition(tasks, *keys, "_file").sortWithinPartitions(*keys, "_file", *order).drop("_file"),
+        path, keys, group_rows, mode, maxRecordsPerFile=str(rows_per_file), **options,
     )
-    if dense is not None:
-        files = int(hot.agg(F.sum(F.ceil(F.col("n") / rows_per_file))).first()[0])
-        # rows equal in the order columns still spread, by a hash of the whole row
-        tie = F.xxhash64(*df.columns)
-        write_parquet(
-            dense.withColumn("_tie", tie)
-            .repartitionByRange(files, *sort, "_tie")
-            .drop("_tie")
-            .sortWithinPartitions(*sort),
-            path, keys, group_rows, "append",
-        )
 
 
 def write_units(
