@@ -289,17 +289,38 @@ def test_urls(spark):
     assert url_filter.judge(pages.filter("page_id < 0")).count() == 0
 
 
-def test_markov_sums_to_one():
-    urls = [b"abcab", b"abd"]
+def brute_chance(urls, context, symbol):
+    """Witten-Bell over whole Python dictionaries; strings of three bytes and more count from two on."""
     seen = {}
     for u in urls:
         for k in range(url_filter.ORDER + 1):
             for i in range(k, len(u)):
                 seen[u[i - k : i], u[i]] = seen.get((u[i - k : i], u[i]), 0) + 1
-    model = url_filter.Markov([c for c, _ in seen], [s for _, s in seen], list(seen.values()))
-    data = np.frombuffer(b"ab", np.uint8)
-    context = [h[1:2].repeat(256) for h in url_filter._contexts(data, np.array([0, 2]))]
-    assert np.exp(model.logs(context, np.arange(256))).sum() == pytest.approx(1.0)
+    seen = {c: n for c, n in seen.items() if len(c[0]) < 2 or n > 1}
+    p = 1 / 256
+    for k in range(len(context) + 1):
+        own = {s: n for (c, s), n in seen.items() if c == context[len(context) - k :]}
+        total = sum(own.values())
+        p = (own.get(symbol, 0) + len(own) * p) / (total + len(own)) if total else p
+    return p
+
+
+def test_url_models(spark):
+    good, bad, others = [b"abcab", b"abd", b"abcabcabcx"], [b"xx/abc", b"abcab"], ["bcabé".encode(), b"qab"]
+    rows = [(u.decode(), k) for k, kind in ((1, good), (2, bad), (0, others)) for u in kind]
+    got = {r.gram: (r.p_good, r.p_bad) for r in url_filter.models(spark.createDataFrame(rows, "url string, kind int")).collect()}
+    want = {u[i - k : i + 1] for u in [*good, *bad, *others] for i in range(len(u)) for k in range(min(i, url_filter.ORDER) + 1)}
+    pack = lambda w: (len(w) << 48) + int.from_bytes(w, "big")
+    assert set(got) == {pack(w) for w in want}
+    for w in want:
+        assert got[pack(w)] == pytest.approx((brute_chance(good, w[:-1], w[-1]), brute_chance(bad, w[:-1], w[-1])))
+    assert sum(brute_chance(good, b"ab", s) for s in range(256)) == pytest.approx(1.0)
+    gains = spark.createDataFrame([(g, float(np.log(a) - np.log(b))) for g, (a, b) in got.items()], "gram long, gain double")
+    urls = [(i, u.decode()) for i, u in enumerate([*good, *others, *good])] + [(50, ""), (51, None), (None, "abd")]
+    for r in url_filter.evidence(spark.createDataFrame(urls, "page_id long, url string"), gains).collect():
+        u = (r.url or "").encode()
+        parts = [np.log(brute_chance(good, u[max(0, i - 5) : i], u[i]) / brute_chance(bad, u[max(0, i - 5) : i], u[i])) for i in range(len(u))]
+        assert r.evidence == pytest.approx(np.mean(parts) if parts else 0.0)
 
 
 def test_quality(spark, docs, none):
