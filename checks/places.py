@@ -56,7 +56,7 @@ def hits_per_risk(spark, sf):
 def hot_cells(spark, sf):
     """The same join with a low limit, so that cells refine and finally split."""
     zones = V.zones(spark, sf).select("zone_id", "rings")
-    hits = J.point_in_zone(V.points(spark, sf), zones, 4 * V.CELL, hot_rows=64)
+    hits = J.point_in_zone(V.points(spark, sf), zones, 4 * V.CELL, hot_pairs=1024)
     return hits.select("o_orderkey", "zone_id")
 
 

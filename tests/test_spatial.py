@@ -73,7 +73,7 @@ def pairs(df):
 
 @pytest.mark.parametrize("hot", [10**6, 40, 5])
 def test_points_in_zones(points, zones, brute, hot):
-    assert pairs(J.point_in_zone(points[1], zones, 128, hot_rows=hot)) == brute
+    assert pairs(J.point_in_zone(points[1], zones, 128, hot_pairs=hot)) == brute
 
 
 def test_equal_points_stay_apart(spark, zones, points, brute):

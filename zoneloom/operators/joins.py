@@ -1,8 +1,8 @@
 """Points, boxes and zones matched through grid cells.
 
 A spatial predicate alone would plan as a nested loop, so every join here is an equi-join on
-cells, a box test, then the exact test. Hot cells are found by counting and handled exactly:
-they are refined into smaller cells and, where even those stay hot, split on both sides.
+cells, a box test, then the exact test on the row itself. Keys whose sides make too many pairs are
+found by counting and dealt to a grid of tasks, in which each pair still meets once.
 """
 
 from __future__ import annotations
@@ -17,23 +17,63 @@ from zoneloom.functions import rings as R
 from zoneloom.session import settle
 
 CELL = ["ci", "cj"]
-HOT_ROWS = 1_000_000  # rows of one cell that one task may hold
+HOT_PAIRS = 20_000_000  # pairs of one key that one task may test
 NAMED_CELLS = 4096  # of a viewport, named in its filter
-HOT_KEYS = 4096  # a cell below the 4096 fullest holds less than 1/4096 of all rows
-REFINE = 8
-MAX_REFINEMENTS = 4
+LISTED_KEYS = 100_000  # hot keys that are broadcast; more are joined with salt
+SALTS = 64
+REFINE = 16
 
 
-def hottest(
-    df: DataFrame, keys: list[str], more_than: int, sizes: DataFrame | None = None
-) -> DataFrame:
-    """Keys with more than so many rows, at most ``HOT_KEYS`` of them, so safe to broadcast."""
-    counts = df.groupBy(*keys).agg(F.count("*").alias("n")) if sizes is None else sizes
-    return (
-        counts.where(F.col("n") > more_than)
-        .orderBy(F.desc("n"), *keys)
-        .limit(HOT_KEYS)
+def hot_keys(left: DataFrame, right: DataFrame, on: list[str], hot_pairs: int) -> tuple[DataFrame, int]:
+    """Keys whose two sides make more than ``hot_pairs`` pairs, with the ways to deal each side."""
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    rows = left.select(*on, one.alias("a"), none.alias("b")).unionByName(
+        right.select(*on, none.alias("a"), one.alias("b"))
+    )
+    counts = rows.groupBy(*on).agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    side = max(1, math.isqrt(hot_pairs))
+    a, b = F.col("a").cast("double"), F.col("b").cast("double")
+    whole = F.ceil(a * b / hot_pairs)
+    ways_a = F.when(b <= side, whole).when(a <= side, 1).otherwise(F.ceil(a / side))
+    ways_b = F.when(b <= side, 1).when(a <= side, whole).otherwise(F.ceil(b / side))
+    hot = settle(
+        counts.where(a * b > hot_pairs).select(
+            *on, ways_a.cast("bigint").alias("ways_a"), ways_b.cast("bigint").alias("ways_b")
+        )
     )
+    return hot, hot.count()
+
+
+def _marked(df: DataFrame, hot: DataFrame, n: int, on: list[str], salt: Column) -> DataFrame:
+    """Rows with the ways of their key, NULL for a key that is not hot."""
+    if n <= LISTED_KEYS:
+        return df.join(F.broadcast(hot), on, "left")
+    wide = hot.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    own = df.withColumn("_s", F.pmod(salt, F.lit(SALTS)).cast("int"))
+    return own.join(wide, [*on, "_s"], "left").drop("_s")
+
+
+def _dealt(df, hot, n, on, own, own_ways, other, other_ways) -> DataFrame:
+    # the hash covers the whole row, so a retried task deals the same way
+    salt = F.xxhash64(*df.columns)
+    rows = _marked(df, hot, n, on, salt)
+    mine, theirs = F.coalesce(own_ways, F.lit(1)), F.coalesce(other_ways, F.lit(1))
+    return rows.withColumns(
+        {own: F.pmod(salt, mine), other: F.explode(F.sequence(F.lit(0).cast("bigint"), theirs - 1))}
+    ).drop("ways_a", "ways_b")
+
+
+def dealt_join(
+    left: DataFrame, right: DataFrame, on: list[str], hot_pairs: int = HOT_PAIRS
+) -> DataFrame:
+    """Inner join on ``on``; a hot key becomes a grid of tasks, each with its share of both sides."""
+    hot, n = hot_keys(left, right, on, hot_pairs)
+    if n == 0:
+        return left.join(right, on)
+    a, b = F.col("ways_a"), F.col("ways_b")
+    left = _dealt(left, hot, n, on, "_a", a, "_b", b)
+    right = _dealt(right, hot, n, on, "_b", b, "_a", a)
+    return left.join(right, [*on, "_a", "_b"]).drop("_a", "_b")
 
 
 def with_box(zones: DataFrame, geometry: str = "rings") -> DataFrame:
@@ -49,54 +89,15 @@ def with_edges(zones: DataFrame, geometry: str = "rings") -> DataFrame:
     return zones.withColumn("edges", R.edges(F.col(geometry)))
 
 
-def _edge_rows(df: DataFrame, keep: list[str], x: Column, y: Column) -> DataFrame:
-    """One row per edge that reaches the height ``y``, with its ends as struct ``e``.
-
-    Ring points are exploded with their position and the next point is read off the ring, so no
-    edge array is ever built and the whole step is generated code.
-    """
-    ends = (
-        df.select(*keep, F.explode("rings").alias("r"))
-        .select(*keep, "r", F.posexplode("r").alias("i", "a"))
-        .select(
-            *keep,
-            F.col("a.x").alias("x1"),
-            F.col("a.y").alias("y1"),
-            F.get("r", F.col("i") + 1)["x"].alias("x2"),
-            F.get("r", F.col("i") + 1)["y"].alias("y2"),
-        )
-    )
-    a, b = F.col("y1"), F.col("y2")
-    # the last point has no next one: its NULL fails the test
-    return ends.where(((a <= y) | (b <= y)) & ((a >= y) | (b >= y)))
-
-
-def _probe(points: DataFrame, zones: DataFrame, on: list[str], boundary: bool) -> DataFrame:
-    """Pairs whose point lies in the zone, for rows that share the keys ``on``.
+def _box_test(pairs: DataFrame, boundary: bool) -> DataFrame:
+    """Joined rows whose point lies in the zone.
 
-    Edges are looked at behind the box test only, and only those on the ray are counted. The keys
-    lead the grouping, which then needs no further shuffle when the join was shuffled by them.
+    The exact test reads the rings of the joined row behind the box test: no row ids, no grouping,
+    no shuffle after the join.
     """
     x, y = F.col("x"), F.col("y")
-    keep = [c for c in [*points.columns, *zones.columns] if c not in (*on, "bbox", "rings")]
-    # row numbers keep equal rows apart; all edges of a pair meet in the task that paired them
-    near = (
-        points.withColumn("_p", F.monotonically_increasing_id())
-        .join(zones.withColumn("_z", F.monotonically_increasing_id()), on)
-        .where(R.box_has_point(F.col("bbox"), x, y))
-    )
-    group = [*on, *keep, "_p", "_z"]
-    e = {k: F.col(k) for k in ("x1", "y1", "x2", "y2")}
-    touch, cross = R.edge_has_point(e, x, y), R.edge_crosses_ray(e, x, y)
-    found = (
-        _edge_rows(near, group, x, y)
-        .where(touch | cross)
-        .groupBy(*group)
-        .agg(F.bool_or(touch).alias("_touch"), F.count_if(cross).alias("_cross"))
-    )
-    odd = F.col("_cross") % 2 == 1
-    inside = (F.col("_touch") | odd) if boundary else (~F.col("_touch") & odd)
-    return found.where(inside).select(*on, *keep)
+    near = pairs.where(R.box_has_point(F.col("bbox"), x, y))
+    return near.where(R.rings_have_point(F.col("rings"), x, y, boundary)).drop("bbox", "rings")
 
 
 def _finer(points: DataFrame, zones: DataFrame, size: float) -> tuple[DataFrame, DataFrame]:
@@ -117,51 +118,17 @@ def _finer(points: DataFrame, zones: DataFrame, size: float) -> tuple[DataFrame,
     return G.with_point_cell(points, size), fine
 
 
-def _split_join(points: DataFrame, zones: DataFrame, hot_rows: int, boundary: bool) -> DataFrame:
-    """Cells too full even at the finest size: a grid of tasks per cell, each pair met once."""
-    pieces = lambda df, name: hottest(df, CELL, hot_rows).select(
-        *CELL, F.ceil(F.col("n") / hot_rows).cast("int").alias(name)
-    )
-    ways = settle(
-        pieces(points, "pa").join(pieces(zones, "zb"), CELL, "full_outer").na.fill(1, ["pa", "zb"])
-    )
-
-    def dealt(df, own, own_ways, other, other_ways):
-        # the hash covers the whole row, so a retried task deals the same way
-        salt = F.xxhash64(*df.columns)
-        df = df.join(F.broadcast(ways), CELL, "left").na.fill(1, ["pa", "zb"])
-        return df.withColumns(
-            {
-                own: F.pmod(salt, F.col(own_ways)).cast("int"),
-                other: F.explode(F.sequence(F.lit(0), F.col(other_ways) - 1)),
-            }
-        ).drop("pa", "zb")
-
-    p = dealt(points, "_a", "pa", "_b", "zb")
-    z = dealt(zones, "_b", "zb", "_a", "pa")
-    return _probe(p, z, [*CELL, "_a", "_b"], boundary).drop("_a", "_b")
-
-
-def _match(points, zones, size, boundary, hot_rows, refinements) -> DataFrame:
-    hot = (
-        hottest(points, CELL, hot_rows)
-        .select(*CELL)
-        .union(hottest(zones, CELL, hot_rows).select(*CELL))
-        .distinct()
-    )
-    if hot.isEmpty():
-        return _probe(points, zones, CELL, boundary)
-    hot = F.broadcast(settle(hot))
-    cold = _probe(
-        points.join(hot, CELL, "left_anti"), zones.join(hot, CELL, "left_anti"), CELL, boundary
-    )
-    p, z = points.join(hot, CELL, "left_semi"), zones.join(hot, CELL, "left_semi")
-    if refinements == 0:
-        dense = _split_join(p, z, hot_rows, boundary)
-    else:
-        p, z = _finer(p, z, size / REFINE)
-        dense = _match(p, z, size / REFINE, boundary, hot_rows, refinements - 1)
-    return cold.unionByName(dense)
+def _match(points, zones, size, boundary, hot_pairs) -> DataFrame:
+    hot, n = hot_keys(points, zones, CELL, hot_pairs)
+    if n == 0:
+        return _box_test(points.join(zones, CELL), boundary)
+    p = _marked(points, hot, n, CELL, F.xxhash64(*points.columns)).drop("ways_b")
+    z = _marked(zones, hot, n, CELL, F.xxhash64(*zones.columns)).drop("ways_b")
+    cold, dense = F.col("ways_a").isNull(), F.col("ways_a").isNotNull()
+    few = _box_test(p.where(cold).drop("ways_a").join(z.where(cold).drop("ways_a"), CELL), boundary)
+    fine = _finer(p.where(dense).drop("ways_a"), z.where(dense).drop("ways_a"), size / REFINE)
+    many = _box_test(dealt_join(*fine, CELL, hot_pairs), boundary)
+    return few.unionByName(many)
 
 
 def match_points(
@@ -169,12 +136,12 @@ def match_points(
     cell_zones: DataFrame,
     size: float,
     boundary: bool = True,
-    hot_rows: int = HOT_ROWS,
+    hot_pairs: int = HOT_PAIRS,
 ) -> DataFrame:
     """Points (``x, y``) against zones already filed under cells (``ci, cj, bbox, rings``)."""
     zones = with_box(cell_zones)
     keyed = G.with_point_cell(points, size)
-    return _match(keyed, zones, size, boundary, hot_rows, MAX_REFINEMENTS).drop(*CELL)
+    return _match(keyed, zones, size, boundary, hot_pairs).drop(*CELL)
 
 
 def point_in_zone(
@@ -182,11 +149,11 @@ def point_in_zone(
     zones: DataFrame,
     size: float,
     boundary: bool = True,
-    hot_rows: int = HOT_ROWS,
+    hot_pairs: int = HOT_PAIRS,
 ) -> DataFrame:
     """One row per (point, zone) that meet; ``boundary`` says whether the border counts."""
     filed = G.with_box_cells(with_box(zones).where("bbox IS NOT NULL"), size)
-    return match_points(points, filed, size, boundary, hot_rows)
+    return match_points(points, filed, size, boundary, hot_pairs)
 
 
 def point_in_giant_zone(
@@ -214,8 +181,11 @@ def point_in_giant_zone(
         return F.coalesce(F.least(at, F.col("bands") - 1), F.lit(0)).cast("bigint")
 
     candidates = (
-        G.with_point_cell(points.select(*point_keys, "x", "y"), size)
-        .join(G.with_box_cells(wide.select(*zone_keys, "bbox", "bands"), size), CELL)
+        dealt_join(
+            G.with_point_cell(points.select(*point_keys, "x", "y"), size),
+            G.with_box_cells(wide.select(*zone_keys, "bbox", "bands"), size),
+            CELL,
+        )
         .where(R.box_has_point(b, F.col("x"), F.col("y")))
         .select(*point_keys, *zone_keys, "x", "y", band(F.col("y")).alias("band"))
     )
@@ -228,7 +198,7 @@ def point_in_giant_zone(
     x, y = F.col("x"), F.col("y")
     on_edge, crosses = R.edge_has_point(e, x, y), R.edge_crosses_ray(e, x, y)
     return (
-        candidates.join(banded, [*zone_keys, "band"])
+        dealt_join(candidates, banded, [*zone_keys, "band"])
         .where(on_edge | crosses)
         .groupBy(*point_keys, *zone_keys)
         .agg(F.bool_or(on_edge).alias("touch"), F.count_if(crosses).alias("crossings"))
@@ -246,8 +216,9 @@ def box_join(left: DataFrame, right: DataFrame, size: float, left_box="lbox", ri
     own_i = G.cell_index(F.greatest(a["xmin"], b["xmin"]), size)
     own_j = G.cell_index(F.greatest(a["ymin"], b["ymin"]), size)
     return (
-        G.with_box_cells(left, size, left_box)
-        .join(G.with_box_cells(right, size, right_box), CELL)
+        dealt_join(
+            G.with_box_cells(left, size, left_box), G.with_box_cells(right, size, right_box), CELL
+        )
         .where(R.boxes_meet(a, b) & (F.col("ci") == own_i) & (F.col("cj") == own_j))
         .drop(*CELL)
     )
@@ -255,34 +226,13 @@ def box_join(left: DataFrame, right: DataFrame, size: float, left_box="lbox", ri
 
 def zones_in_boxes(boxes: DataFrame, zones: DataFrame, size: float, box: str = "vbox") -> DataFrame:
     """Pairs of box and zone that truly meet, without the geometry of either."""
-    filed = with_edges(zones).where("bbox IS NOT NULL").drop("rings")
-    boxes = boxes.withColumn("_p", F.monotonically_increasing_id())
-    filed = filed.withColumn("_z", F.monotonically_increasing_id())
-    pairs = box_join(boxes, filed, size, box, "bbox")
-    keep = [c for c in pairs.columns if c not in ("bbox", "edges", box)]
-    v, e = F.col(box), F.col("e")
-    meets = R.edge_meets_box(e, v)
-    b = F.col("bbox")
-    swallowed = (b["xmin"] >= v["xmin"]) & (b["xmax"] <= v["xmax"])
-    swallowed = swallowed & (b["ymin"] >= v["ymin"]) & (b["ymax"] <= v["ymax"])
-    # any one edge proves a zone that lies whole in the box
-    tested = F.when(swallowed, F.slice("edges", 1, 1)).otherwise(F.col("edges"))
-    # the ray from a corner tells a box that lies inside the zone
-    cross = R.edge_crosses_ray(e, v["xmin"], v["ymin"])
-    return (
-        pairs.select(*keep, box, F.explode(tested).alias("e"))
-        .where(meets | cross)
-        .groupBy(*keep)
-        .agg(F.bool_or(meets).alias("_meets"), F.count_if(cross).alias("_cross"))
-        .where("_meets OR _cross % 2 = 1")
-        .drop("_meets", "_cross", "_p", "_z")
-    )
+    pairs = box_join(boxes, with_box(zones).where("bbox IS NOT NULL"), size, box, "bbox")
+    meets = R.intersects_box(R.edges(F.col("rings")), F.col(box))
+    return pairs.where(meets).drop("bbox", "rings", "edges", box)
 
 
 def lookup_point(layout: DataFrame, x: float, y: float, size: float, boundary: bool = True):
     """Zones at one position, from the cell layout: one cell, box predicate, exact test."""
-    import math
-
     cell = f"{math.floor(x / size)}_{math.floor(y / size)}"
     px, py = F.lit(float(x)), F.lit(float(y))
     exact = R.intersects_point if boundary else R.contains_point
@@ -358,7 +308,7 @@ def two_step_lookup(
     ).drop("at", "bbox")
     filed = G.with_box_cells(with_box(zones), size)
     keyed = G.with_point_cell(files, size)
-    return _probe(keyed, filed, [file_key, *CELL], boundary=True).drop(*CELL)
+    return _box_test(dealt_join(keyed, filed, [file_key, *CELL]), boundary=True).drop(*CELL)
 
 
 def spread_points(ids: DataFrame, extents: DataFrame, group: str, id_col: str) -> DataFrame:
