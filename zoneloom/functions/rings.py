@@ -130,29 +130,6 @@ def contains_point(es: Column, x: Column, y: Column) -> Column:
     return _ray_count(es, x, y, lambda n: (n < _ON_EDGE) & (n % 2 == 1))
 
 
-def rings_have_point(rings: Column, x: Column, y: Column, boundary: bool = True) -> Column:
-    """The same tests on whole rings; edges are read off the ring, and no edge array is built."""
-
-    def edges_that(test):
-        def count(r):
-            def holds(p, i):
-                q = F.get(r, i + 1)
-                # the last point has no next one: its NULL fails the test
-                return test({"x1": p["x"], "y1": p["y"], "x2": q["x"], "y2": q["y"]})
-
-            return F.size(F.filter(r, holds))
-
-        return F.aggregate(rings, F.lit(0), lambda n, r: n + count(r))
-
-    def touches(e):
-        level = ((e["y1"] <= y) | (e["y2"] <= y)) & ((e["y1"] >= y) | (e["y2"] >= y))
-        return level & edge_has_point(e, x, y)
-
-    odd = edges_that(lambda e: edge_crosses_ray(e, x, y)) % 2 == 1
-    touch = edges_that(touches) > 0
-    return (odd | touch) if boundary else (odd & ~touch)
-
-
 def edge_meets_box(e: Column, box: Column) -> Column:
     """Closed segment against closed box: extents overlap and the corners straddle the line."""
     corners = [

@@ -1,7 +1,7 @@
 """Points, boxes and zones matched through grid cells.
 
 A spatial predicate alone would plan as a nested loop, so every join here is an equi-join on
-cells, a box test, then the exact test on the row itself. Keys whose sides make too many pairs are
+cells, a box test, then the exact test. Keys whose sides make too many pairs are
 found by counting and dealt to a grid of tasks, in which each pair still meets once.
 """
 
@@ -89,15 +89,64 @@ def with_edges(zones: DataFrame, geometry: str = "rings") -> DataFrame:
     return zones.withColumn("edges", R.edges(F.col(geometry)))
 
 
-def _box_test(pairs: DataFrame, boundary: bool) -> DataFrame:
+def _edge_rows(df: DataFrame, keep: list[str], y: Column) -> DataFrame:
+    """One row per edge that reaches the height ``y``, and the first edge of each row marked ``first``.
+
+    Ring points are exploded with their position and the next point is read off the ring, so no
+    edge array is ever built and the whole step is generated code.
+    """
+    ends = (
+        df.select(*keep, F.posexplode("rings").alias("k", "r"))
+        .select(*keep, "k", "r", F.posexplode("r").alias("i", "a"))
+        .select(
+            *keep,
+            ((F.col("k") == 0) & (F.col("i") == 0)).alias("first"),
+            F.col("a.x").alias("x1"),
+            F.col("a.y").alias("y1"),
+            F.get("r", F.col("i") + 1)["x"].alias("x2"),
+            F.get("r", F.col("i") + 1)["y"].alias("y2"),
+        )
+    )
+    a, b = F.col("y1"), F.col("y2")
+    # the last point has no next one: its NULL fails the test
+    return ends.where(F.col("first") | (((a <= y) | (b <= y)) & ((a >= y) | (b >= y))))
+
+
+def _told_apart(zones: DataFrame) -> DataFrame:
+    """Add ``_z``, a hash of the whole row: the same whenever a lost task runs again."""
+    if "rings" in zones.columns:  # an empty ring has no first edge to mark a row by
+        zones = zones.withColumn("rings", F.filter("rings", lambda r: F.size(r) > 0))
+    return zones.withColumn("_z", F.xxhash64(*zones.columns))
+
+
+def _box_test(pairs: DataFrame, on: list[str], boundary: bool) -> DataFrame:
     """Joined rows whose point lies in the zone.
 
-    The exact test reads the rings of the joined row behind the box test: no row ids, no grouping,
-    no shuffle after the join.
+    Edges are looked at behind the box test only, and only those on the ray are counted. The keys
+    lead the grouping, which then needs no further shuffle when the join was shuffled by them. Rows
+    are grouped by what they hold; of ``n`` equal ones each edge counts ``n`` times, and ``n`` leave.
     """
     x, y = F.col("x"), F.col("y")
     near = pairs.where(R.box_has_point(F.col("bbox"), x, y))
-    return near.where(R.rings_have_point(F.col("rings"), x, y, boundary)).drop("bbox", "rings")
+    keep = [c for c in pairs.columns if c not in (*on, "bbox", "rings", "_z")]
+    group = [*on, *keep, "_z"]
+    e = {k: F.col(k) for k in ("x1", "y1", "x2", "y2")}
+    touch, cross = R.edge_has_point(e, x, y), R.edge_crosses_ray(e, x, y)
+    found = (
+        _edge_rows(near, group, y)
+        .where(F.col("first") | touch | cross)
+        .groupBy(*group)
+        .agg(
+            F.count_if("first").alias("_n"),
+            F.bool_or(touch).alias("_touch"),
+            F.count_if(cross).alias("_cross"),
+        )
+    )
+    touched = F.coalesce(F.col("_touch"), F.lit(False))
+    odd = (F.col("_cross") / F.col("_n")).cast("bigint") % 2 == 1
+    inside = (touched | odd) if boundary else (~touched & odd)
+    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))).alias("_copy")
+    return found.where(inside).select(*on, *keep, copies).drop("_copy")
 
 
 def _finer(points: DataFrame, zones: DataFrame, size: float) -> tuple[DataFrame, DataFrame]:
@@ -121,13 +170,13 @@ def _finer(points: DataFrame, zones: DataFrame, size: float) -> tuple[DataFrame,
 def _match(points, zones, size, boundary, hot_pairs) -> DataFrame:
     hot, n = hot_keys(points, zones, CELL, hot_pairs)
     if n == 0:
-        return _box_test(points.join(zones, CELL), boundary)
+        return _box_test(points.join(zones, CELL), CELL, boundary)
     p = _marked(points, hot, n, CELL, F.xxhash64(*points.columns)).drop("ways_b")
     z = _marked(zones, hot, n, CELL, F.xxhash64(*zones.columns)).drop("ways_b")
     cold, dense = F.col("ways_a").isNull(), F.col("ways_a").isNotNull()
-    few = _box_test(p.where(cold).drop("ways_a").join(z.where(cold).drop("ways_a"), CELL), boundary)
+    few = _box_test(p.where(cold).drop("ways_a").join(z.where(cold).drop("ways_a"), CELL), CELL, boundary)
     fine = _finer(p.where(dense).drop("ways_a"), z.where(dense).drop("ways_a"), size / REFINE)
-    many = _box_test(dealt_join(*fine, CELL, hot_pairs), boundary)
+    many = _box_test(dealt_join(*fine, CELL, hot_pairs), CELL, boundary)
     return few.unionByName(many)
 
 
@@ -139,7 +188,7 @@ def match_points(
     hot_pairs: int = HOT_PAIRS,
 ) -> DataFrame:
     """Points (``x, y``) against zones already filed under cells (``ci, cj, bbox, rings``)."""
-    zones = with_box(cell_zones)
+    zones = _told_apart(with_box(cell_zones))
     keyed = G.with_point_cell(points, size)
     return _match(keyed, zones, size, boundary, hot_pairs).drop(*CELL)
 
@@ -226,9 +275,31 @@ def box_join(left: DataFrame, right: DataFrame, size: float, left_box="lbox", ri
 
 def zones_in_boxes(boxes: DataFrame, zones: DataFrame, size: float, box: str = "vbox") -> DataFrame:
     """Pairs of box and zone that truly meet, without the geometry of either."""
-    pairs = box_join(boxes, with_box(zones).where("bbox IS NOT NULL"), size, box, "bbox")
-    meets = R.intersects_box(R.edges(F.col("rings")), F.col(box))
-    return pairs.where(meets).drop("bbox", "rings", "edges", box)
+    filed = _told_apart(with_edges(zones).where("bbox IS NOT NULL").drop("rings"))
+    pairs = box_join(boxes, filed, size, box, "bbox")
+    keep = [c for c in pairs.columns if c not in ("bbox", "edges", "_z", box)]
+    v, e, b = F.col(box), F.col("e"), F.col("bbox")
+    meets = R.edge_meets_box(e, v)
+    swallowed = (b["xmin"] >= v["xmin"]) & (b["xmax"] <= v["xmax"])
+    swallowed = swallowed & (b["ymin"] >= v["ymin"]) & (b["ymax"] <= v["ymax"])
+    # any one edge proves a zone that lies whole in the box
+    tested = F.when(swallowed, F.slice("edges", 1, 1)).otherwise(F.col("edges"))
+    # the ray from a corner tells a box that lies inside the zone
+    cross = R.edge_crosses_ray(e, v["xmin"], v["ymin"])
+    copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))).alias("_copy")
+    return (
+        pairs.select(*keep, "_z", box, F.posexplode(tested).alias("i", "e"))
+        .where((F.col("i") == 0) | meets | cross)
+        .groupBy(*keep, "_z", box)
+        .agg(
+            F.count_if(F.col("i") == 0).alias("_n"),
+            F.bool_or(meets).alias("_meets"),
+            F.count_if(cross).alias("_cross"),
+        )
+        .where(F.col("_meets") | ((F.col("_cross") / F.col("_n")).cast("bigint") % 2 == 1))
+        .select(*keep, copies)
+        .drop("_copy")
+    )
 
 
 def lookup_point(layout: DataFrame, x: float, y: float, size: float, boundary: bool = True):
@@ -306,9 +377,10 @@ def two_step_lookup(
     files = box_join(
         points.withColumn("at", at), index.select(file_key, "bbox"), size, "at", "bbox"
     ).drop("at", "bbox")
-    filed = G.with_box_cells(with_box(zones), size)
+    filed = G.with_box_cells(_told_apart(with_box(zones)), size)
     keyed = G.with_point_cell(files, size)
-    return _box_test(dealt_join(keyed, filed, [file_key, *CELL]), boundary=True).drop(*CELL)
+    on = [file_key, *CELL]
+    return _box_test(dealt_join(keyed, filed, on), on, boundary=True).drop(*CELL)
 
 
 def spread_points(ids: DataFrame, extents: DataFrame, group: str, id_col: str) -> DataFrame:
