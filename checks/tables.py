@@ -106,9 +106,10 @@ def extra_derived(spark, sf):
 def stage_counts(spark, sf):
     units = V.zones(spark, sf).select("zone_id", "state", "county")
     raw = units.join(V.broken(spark, sf), "zone_id")
-    # repair keeps every row; a bow-tie shows only through its crossing edges
-    checked = Q.with_defect(raw, ["zone_id"])
-    return P.stage_counts(checked, checked, F.col("defect") != "none")
+    # a bow-tie shows only through its crossing edges; repair keeps every row, in one of two frames
+    good, quarantine = Q.repair_zones(raw, ["zone_id"])
+    silver = good.unionByName(quarantine.drop("defect"))
+    return P.stage_counts(Q.with_defect(raw, ["zone_id"]), silver, F.col("defect") != "none")
 
 
 # ------------------------------------------------------------------ catalog

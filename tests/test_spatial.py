@@ -154,10 +154,13 @@ def test_repair_and_quarantine(spark):
         4: [square[:2] + [(9.0, 9.0)] + square[1:]], 5: [square[:2]], 6: [],
         7: [[(0.0, 0.0), (4.0, 4.0), (4.0, 0.0), (0.0, 2.0), (0.0, 0.0)]], 8: None,
     }
+    out = [(4.0 + i, 5.0 + i * i) for i in range(1, 13)]  # a spike of twelve points, each behind the next
+    cases[9] = [square[:2] + out[:3] + out[1::-1] + square[1:]]
+    cases[10] = [square[:2] + out + [out[-1]] + out[-2::-1] + square[1:]]
     df = spark.createDataFrame([("MA", "u", k, v) for k, v in cases.items()], SCHEMA)
     good, bad = Q.repair_zones(df, ["zone_id"])
     assert {r.zone_id: r.a for r in good.select("zone_id", R.area(F.col("rings")).alias("a")).collect()} == {
-        1: 16.0, 2: 16.0, 3: 16.0, 4: 16.0
+        1: 16.0, 2: 16.0, 3: 16.0, 4: 16.0, 9: 16.0, 10: 16.0
     }
     assert {r.zone_id: r.defect for r in bad.collect()} == {
         5: "empty", 6: "empty", 7: "self crossing", 8: "null"

@@ -107,21 +107,42 @@ def with_defect(zones: DataFrame, keys: list[str], geometry: str = "rings") -> D
     )
 
 
+def _folded(ring: Column) -> Column:
+    """The ring without repeated points and spikes, however deep they nest, point by point.
+
+    A point equal to the last kept one is left out; one equal to the last but one takes back the
+    last. Each step copies what is kept, so only rings that need it come here.
+    """
+
+    def step(kept, p):
+        n = F.size(kept)
+        return (
+            F.when(F.get(kept, n - 1) == p, kept)
+            .when(F.get(kept, n - 2) == p, F.slice(kept, F.lit(1), n - 1))
+            .otherwise(F.concat(kept, F.array(p)))
+        )
+
+    return F.aggregate(ring, F.filter(ring, lambda p: F.lit(False)), step)
+
+
 def repair_rings(rings: Column) -> Column:
     """Close rings, drop repeated points, spikes and rings without an area.
 
-    Two passes take care of a spike that hides another; what still fails is for quarantine.
+    One quick pass takes single spikes off; a ring where others hid behind them is folded up.
     """
     no_repeats = lambda r: F.filter(r, lambda p, i: (i == 0) | (p != _before(r, i)))
 
     def no_spikes(r):
         return F.filter(r, lambda p, i: ~_is_spike(r, p, i))
 
+    def no_more(r):
+        spiked = F.size(F.filter(r, lambda p, i: _is_spike(r, p, i))) > 0
+        return F.when(spiked, _folded(r)).otherwise(r)
+
     out = F.transform(rings, R.close_ring)
-    for _ in range(2):
-        out = F.transform(out, no_repeats)
-        out = F.transform(out, no_spikes)
-    return R.polygonal(F.transform(out, no_repeats))
+    for pass_over in (no_repeats, no_spikes, no_repeats, no_more):
+        out = F.transform(out, pass_over)
+    return R.polygonal(out)
 
 
 def repair_zones(
