@@ -1,5 +1,7 @@
 """The cutting kernel keeps area, cap, direction and coverage."""
 
+import time
+
 import numpy as np
 import pytest
 
@@ -86,3 +88,17 @@ def test_box_clip():
     square = np.array([(0, 0), (10, 0), (10, 10), (0, 10), (0, 0)], float)
     (piece,) = clip.clip_to_box([square], 2, 3, 6, 20)
     assert clip.signed_area(piece[0]) == 28
+
+
+def test_many_holes_find_their_shell_quickly():
+    side = 100
+    shell = clip.oriented(np.array([(0, 0), (2, 0), (2, 1), (0, 1), (0, 0)], float) * side, True)
+    holes = [
+        np.array([(x, y), (x + 0.5, y), (x, y + 0.5), (x, y)]) + 0.25
+        for x in range(2 * side) for y in range(side // 4)
+    ]
+    started = time.perf_counter()
+    (part,) = clip.to_parts([*holes, shell])
+    assert len(part) == len(holes) + 1 and clip.signed_area(part[0]) == 2 * side * side
+    assert sum(map(clip.signed_area, part)) == pytest.approx(2 * side * side - 0.125 * len(holes))
+    assert time.perf_counter() - started < 30

@@ -58,13 +58,28 @@ def oriented(ring, ccw):
     return ring if (signed_area(ring) > 0) == ccw else ring[::-1]
 
 
+def _box_holders(rings):
+    """For a ring, the numbers of those of ``rings`` whose box holds its box, all compared at once."""
+    if not rings:
+        return lambda ring: []
+    lows = np.array([r.min(0) for r in rings])
+    highs = np.array([r.max(0) for r in rings])
+
+    def holders(ring):
+        inside = (lows <= ring.min(0)).all(1) & (highs >= ring.max(0)).all(1)
+        return np.flatnonzero(inside).tolist()
+
+    return holders
+
+
 def to_parts(rings):
     """Even-odd rings in any order or direction, grouped into parts."""
     rings = [t for t in map(_tidy, rings) if t is not None]
     if len(rings) == 1:
         return [[oriented(rings[0], True)]]
+    holders = _box_holders(rings)
     around = [
-        [j for j, o in enumerate(rings) if j != i and ring_in_ring(r, o)]
+        [j for j in holders(r) if j != i and ring_in_ring(r, rings[j])]
         for i, r in enumerate(rings)
     ]
     parts = {
@@ -74,7 +89,10 @@ def to_parts(rings):
         if i in parts:
             continue
         # the shell one level up
-        owner = next(j for j in around[i] if j in parts and len(around[j]) == len(around[i]) - 1)
+        up = len(around[i]) - 1
+        owner = next((j for j in around[i] if j in parts and len(around[j]) == up), None)
+        if owner is None:
+            raise ValueError("a hole lies in no shell: rings cross, repair the zone first")
         parts[owner].append(oriented(r, False))
     return list(parts.values())
 
@@ -83,10 +101,12 @@ def _assign(shells, holes):
     if len(shells) == 1:
         return [[shells[0], *holes]]
     parts = [[s] for s in shells]
+    holders = _box_holders(shells)
     for h in holes:
-        owner = next((p for p in parts if ring_in_ring(h, p[0])), None)
-        if owner is not None:
-            owner.append(h)
+        owner = next((parts[j] for j in holders(h) if ring_in_ring(h, shells[j])), None)
+        if owner is None:
+            raise ValueError("a hole lies in no shell: rings cross, repair the zone first")
+        owner.append(h)
     return parts
 
 
