@@ -222,6 +222,28 @@ def test_shards(docs, odd, none, rows):
     assert sharding.assign_shards(odd, 3).count() == odd.count() and sharding.assign_shards(none).count() == 0
 
 
+@pytest.mark.parametrize("rows,size,shards", [(1200, 2, 8), (1200, 10, 7), (1000, 90, 6)])
+def test_shards_where_every_row_has_a_copy(spark, rows, size, shards):
+    found = sharding.assign_shards(spark.range(rows).selectExpr("id AS doc_id", f"concat('text ', id div {size}) AS text"), shards).collect()
+    sizes = [sum(r.shard == s for r in found) for s in range(shards)]
+    assert len(found) == rows and max(sizes) - min(sizes) <= 1
+    homes = {}
+    for r in found:
+        homes.setdefault(r.doc_id // size, set()).add(r.shard)
+    assert sum(len(x) - 1 for x in homes.values()) < shards  # only groups at the border of a shard
+
+
+def test_flows_of_shards():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        wishes, free = rng.integers(0, 90, (9, 9)) * (rng.random((9, 9)) < 0.4), rng.integers(0, 30, 9) * (rng.random(9) < 0.3)
+        np.fill_diagonal(wishes, 0)
+        moved = sharding.flows(wishes, free)
+        assert (moved >= 0).all() and (moved <= wishes).all() and (moved.sum(axis=0) - moved.sum(axis=1) <= free).all()
+    ring = np.roll(np.diag([7, 5, 6]), 1, axis=1)
+    assert sharding.flows(ring, np.zeros(3, int)).sum() == 15  # round the ring, without any free place
+
+
 def test_packing(docs, none, rows):
     found = packing.pack(docs, buckets=4, budget=2_000).collect()
     assert len(found) == len(rows)

@@ -1,9 +1,12 @@
 """Sharding by balanced label propagation, in DataFrame operations only.
 
-Documents of equal text are linked. Linked documents start spread evenly; then, round by round, a
-join brings every document the shard where most of its neighbours are, and it moves there as far as
-that shard's quota has room. Unlinked documents fill what is left of the quotas, so that the counts
-of any two shards differ by at most one.
+Documents of equal text are linked. Linked documents start spread evenly, groups laid end to end by
+a prefix sum over their sizes, so that only those on a border start in two shards or more. Then, round
+by round, the members of a group that lie apart ask for the shard that holds most of it. All that ask
+move at once as far as the places that are free or are left in the same round reach; a round that
+gains nothing that way is tried with the fullest shard that has room. It ends when neither lowers the
+number of cut links. Unlinked documents fill what is left of the quotas, so that the counts of any two
+shards differ by at most one.
 
 Defined cases: a null text has no bytes and links with other null texts only; null or repeated ids
 are ordinary rows; an empty table gives no rows; other columns are neither read nor returned.
@@ -11,8 +14,10 @@ are ordinary rows; an empty table gives no rows; other columns are neither read
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from zoneloom.llm.common import n_partitions, numbered
 from zoneloom.session import settle
@@ -27,32 +32,81 @@ def _loads(state: DataFrame, shards: int) -> list[int]:
     return [found.get(s, 0) for s in range(shards)]
 
 
+def _listed(values: list[int], at):
+    """The value at a place counted from 0."""
+    return F.element_at(F.split(F.lit(",".join(map(str, values))), ",").cast("array<long>"), (at + 1).cast("int"))
+
+
 def _rank(n: str, shard: str):
     """What a shard is worth to a group: the members it holds, then a hash that breaks ties."""
     return F.struct(F.col(n).alias("n"), F.xxhash64("group", shard).alias("tie"))
 
 
-def propagate(state: DataFrame, quotas: list[int], pieces: int) -> DataFrame:
-    """One round over (row, group, shard): movers go to their group's fullest shard that has room."""
-    free = [q - n for q, n in zip(quotas, _loads(state, len(quotas)), strict=True)]
-    room = F.element_at(F.array(*[F.lit(x) for x in free]), F.col("shard") + 1)
+def laid(sized: DataFrame, within: list[str], pieces: int) -> DataFrame:
+    """Where each group of ``n`` begins when the groups of each ``within`` are laid end to end: column ``start``."""
+    piece = sized.withColumn("_piece", F.pmod(F.xxhash64("group"), F.lit(pieces)).cast("int"))
+    sums = piece.groupBy(*within, "_piece").agg(F.sum("n").alias("_n"))
+    before = Window.partitionBy(*within).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select(*within, "_piece", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    own = Window.partitionBy(*within, "_piece").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    return (piece.join(starts, [*within, "_piece"])
+            .withColumn("start", (F.coalesce(F.sum("n").over(own), F.lit(0)) + F.col("_start")).cast("long"))
+            .drop("_piece", "_start"))
+
+
+def deal(groups: DataFrame, linked: DataFrame, total: int, shards: int, pieces: int) -> DataFrame:
+    """(row, group, shard) of the ``total`` linked rows: groups end to end over shards of even size."""
+    members = numbered(linked, ["group"], ["row"], "spread", pieces, "member")
+    at = F.col("start") + F.col("member")
+    least, more = divmod(total, shards)
+    edge = more * (least + 1)
+    shard = F.when(at < edge, F.floor(at / (least + 1))).otherwise(more + F.floor((at - edge) / max(1, least)))
+    return members.join(laid(groups, [], pieces), "group").select("row", "group", shard.cast("int").alias("shard"))
+
+
+def flows(wishes: np.ndarray, free: np.ndarray) -> np.ndarray:
+    """How many of ``wishes[from, to]`` move at once: no shard gains more than it loses and has free."""
+    out = wishes.astype(np.int64)
+    while True:
+        over = out.sum(axis=0) - out.sum(axis=1) - free
+        to = int(over.argmax())
+        if over[to] <= 0:
+            return out
+        column = out[:, to]
+        share = column * (over[to] / column.sum())
+        less = np.minimum(share.astype(np.int64), column)
+        for s in np.argsort(-column, kind="stable"):  # what rounding left over, largest first
+            less[s] += min(over[to] - less.sum(), column[s] - less[s])
+        out[:, to] -= less
+
+
+def propagate(state: DataFrame, quotas: list[int], pieces: int, swap: bool) -> DataFrame:
+    """One round over (row, group, shard): movers go to their group's fullest shard, places left being places free.
+
+    Without ``swap`` they go to the fullest shard that has room before the round.
+    """
+    shards = len(quotas)
+    free = [q - n for q, n in zip(quotas, _loads(state, shards), strict=True)]
+    room = F.lit(1) if swap else _listed(free, F.col("shard"))
     held = state.groupBy("group", "shard").agg(F.count(F.lit(1)).alias("n"))
     # the shard that holds most of the group is the aim, even if full: then those elsewhere take the next one with room
     aims = held.groupBy("group").agg(
         F.max(F.struct("n", F.xxhash64("group", "shard").alias("tie"), "shard")).alias("most"),
         F.max(F.when(room > 0, F.struct("n", F.xxhash64("group", "shard").alias("tie"), "shard"))).alias("open"))
-    aims = aims.select("group", F.col("most.n").alias("most_n"), F.col("most.shard").alias("most"),
-                       F.col("open.n").alias("open_n"), F.col("open.shard").alias("aim"))
-    looked = (state.join(aims, "group", "left")
-              .join(held.withColumnRenamed("n", "own_n"), ["group", "shard"]))
-    goes = ((F.col("aim") != F.col("shard")) & (F.col("shard") != F.col("most"))
-            & (_rank("open_n", "aim") > _rank("own_n", "shard")))
-    marked = looked.withColumn("goes", F.coalesce(goes, F.lit(False)))
-    stay = marked.filter("not goes").select("row", "group", "shard")
-    go = numbered(marked.filter("goes").select("row", "group", "shard", "aim", F.xxhash64("row").alias("spread")),
-                  ["aim"], ["row"], "spread", pieces, "place")
-    has = F.element_at(F.array(*[F.lit(x) for x in free]), F.col("aim") + 1)
-    return stay.unionByName(go.select("row", "group", F.when(F.col("place") < has, F.col("aim")).otherwise(F.col("shard")).alias("shard")))
+    aims = aims.select("group", F.col("most.shard").alias("most"), F.col("open.n").alias("open_n"), F.col("open.shard").alias("aim"))
+    asked = settle(held.join(aims, "group").filter(
+        (F.col("aim") != F.col("shard")) & (F.col("shard") != F.col("most"))
+        & (_rank("open_n", "aim") > _rank("n", "shard"))).select("group", "shard", "aim", "n"))
+    wishes = np.zeros((shards, shards), np.int64)
+    for r in asked.groupBy("shard", "aim").agg(F.sum("n").alias("n")).collect():  # at most one a pair of shards
+        wishes[r["shard"], r["aim"]] = r["n"]
+    most = _listed(flows(wishes, np.array(free)).ravel().tolist(), F.col("shard") * shards + F.col("aim"))
+    take = F.least(F.col("n"), most - F.col("start"))
+    parts = (laid(asked, ["shard", "aim"], pieces).select("group", "shard", "aim", "n", take.alias("take")).filter("take > 0"))
+    looked = state.join(parts, ["group", "shard"], "left")
+    whole = looked.filter("take is null or take = n").select("row", "group", F.coalesce("aim", "shard").alias("shard"))
+    some = numbered(looked.filter("take < n").withColumn("spread", F.xxhash64("row")), ["group", "shard"], ["row"], "spread", pieces, "place")
+    return whole.unionByName(some.select("row", "group", F.when(F.col("place") < F.col("take"), F.col("aim")).otherwise(F.col("shard")).alias("shard")))
 
 
 def cut_edges(state: DataFrame) -> DataFrame:
@@ -62,7 +116,7 @@ def cut_edges(state: DataFrame) -> DataFrame:
     return sums.agg(F.coalesce(F.sum((F.col("all") * F.col("all") - F.col("squares")) / 2), F.lit(0.0)).cast("long").alias("cut"))
 
 
-def assign_shards(docs: DataFrame, shards: int = 40, rounds: int = 4) -> DataFrame:
+def assign_shards(docs: DataFrame, shards: int = 40) -> DataFrame:
     """Every document with its shard and its place there."""
     spark = docs.sparkSession
     pieces = 4 * n_partitions(spark)
@@ -75,12 +129,20 @@ def assign_shards(docs: DataFrame, shards: int = 40, rounds: int = 4) -> DataFra
     rows = settle(numbered(rows, [], ["spread", "doc_id", "group"], "spread", pieces, "row"))
     total = rows.count()
     quotas = _quotas(total, shards)
-    several = rows.groupBy("group").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("group")
-    linked = rows.select("row", "group").join(several, "group", "left_semi").withColumn("spread", F.xxhash64("row"))
-    state = settle(numbered(linked, [], ["row"], "spread", pieces, "k")
-                   .select("row", "group", F.pmod("k", F.lit(shards)).cast("int").alias("shard")))
-    for _ in range(rounds):
-        state = settle(propagate(state, quotas, pieces))
+    several = settle(rows.groupBy("group").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    linked = rows.select("row", "group").join(several.select("group"), "group", "left_semi").withColumn("spread", F.xxhash64("row"))
+    n_linked = several.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    state = settle(deal(several, linked, n_linked, shards, pieces))
+    cut, swap = cut_edges(state).first()["cut"], True
+    while cut:
+        moved = settle(propagate(state, quotas, pieces, swap))
+        now = cut_edges(moved).first()["cut"]
+        if now < cut:
+            state, cut, swap = moved, now, True
+        elif swap:
+            swap = False
+        else:
+            break
     left, ends, at = _loads(state, shards), [], 0
     for q, n in zip(quotas, left, strict=True):
         at += q - n
