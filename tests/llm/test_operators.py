@@ -207,6 +207,61 @@ def test_fingerprints(docs, odd, none, rows):
     assert simhash.fingerprint_next(odd).count() >= 1 and simhash.fingerprint_next(none).count() == 0
 
 
+def near_families(n, seed=8):
+    """n pairs of texts of random words, the second with some words edited."""
+    rng = random.Random(seed)
+    for _ in range(n):
+        own = [f"w{rng.randrange(5000)}" for _ in range(rng.randint(80, 400))]
+        copy = list(own)
+        for at in rng.sample(range(len(own)), rng.randint(1, max(1, len(own) // 45))):
+            copy[at] = "edited"
+        yield " ".join(own), " ".join(copy)
+
+
+def test_fingerprints_find_what_is_alike(spark):
+    texts = {}
+    for k, (own, copy) in enumerate(near_families(120)):
+        texts[20 * k + 1], texts[20 * k + 20] = own, copy
+    sets = {i: shingles(t) for i, t in texts.items()}
+    alike = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    got = simhash.fingerprint_documents(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    asked = {r.doc_id: r for r in got if r.doc_id % 20 == 0}
+    want = {i: [j for j in texts if j != i and alike(i, j) >= 0.8] for i in asked}
+    assert sum(map(len, want.values())) >= 80
+    hit = sum(asked[i].near_id == min(w) and asked[i].n_near == 1 + len(w) for i, w in want.items() if w)
+    assert hit >= 0.9 * sum(map(bool, want.values()))
+    assert all(alike(i, asked[i].near_id) > 0.6 for i in asked)
+
+
+@pytest.mark.parametrize("radius", [0, 3, 17, 23, 40])
+def test_pairs_within_a_radius(radius, monkeypatch):
+    rng = np.random.default_rng(radius)
+    monkeypatch.setattr(simhash, "CANDIDATES", 500)
+    base = rng.integers(0, 256, (6, 16), dtype=np.uint8)
+    flip = np.packbits(rng.random((240, 128)) < rng.random((240, 1)) * 0.3, axis=1)
+    prints = np.unique(np.concatenate([base, base[rng.integers(0, 6, 240)] ^ flip]), axis=0)
+    queries = prints[::5]
+    away = np.bitwise_count(queries[:, None] ^ prints[None]).sum(axis=2)
+    got = [(int(a), int(b)) for x, y in simhash.pairs_within(queries, prints, radius) for a, b in zip(x, y, strict=True)]
+    assert len(got) == len(set(got)) and set(got) == set(zip(*map(np.ndarray.tolist, np.nonzero(away <= radius)), strict=True))
+
+
+def test_near_counts_over_several_tiles(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "TILE", 20)
+    monkeypatch.setattr(simhash, "ASKED", 7)
+    rng = np.random.default_rng(6)
+    prints = [bytes(x) for x in np.packbits(rng.random((150, 128)) < 0.08, axis=1)]
+    rows = [(p, None if i % 3 == 0 else 10 * i, i % 4 + 1) for i, p in enumerate(dict.fromkeys(prints))]
+    held = spark.createDataFrame(rows, "print binary, least long, n long")
+    got = {bytes(r.print): (r.near_id, r.n_near) for r in simhash.near_counts(held.filter("n = 2").select("print"), held, 18).collect()}
+    away = lambda a, b: (int.from_bytes(a) ^ int.from_bytes(b)).bit_count()
+    want = {}
+    for p in (p for p, _, n in rows if n == 2):
+        near = [(least, n) for q, least, n in rows if away(p, q) <= 18]
+        want[p] = (min((x for x, _ in near if x is not None), default=None), sum(n for _, n in near))
+    assert got == want
+
+
 def test_shards(docs, odd, none, rows):
     found = sharding.assign_shards(docs, 7).collect()
     sizes = [sum(r.shard == s for r in found) for s in range(7)]
