@@ -424,3 +424,25 @@ def test_pipeline_stages(spark, docs, rows, tmp_path):
     classes = near_classes([(i, texts[i]) for i in kept])
     assert sorted(r.doc_id for r in near.collect()) == sorted(i for i, (_, c) in classes.items() if c == i)
     assert corpus_pipeline.packing(spark, near, "").count() == near.count()
+
+
+def test_pipeline_near_with_null_and_repeated_ids(spark):
+    import corpus_pipeline
+
+    rng = random.Random(12)
+    words = lambda n=60: [f"w{rng.randrange(4000)}" for _ in range(n)]
+    near = lambda w, k=1: " ".join(["edited", *w[1:-k], *["last"] * k])
+    a, b, c, d = words(), words(), words(), words()
+    clean = [" ".join(words()) for _ in range(4)]
+    rows = [(1, " ".join(a)), (None, near(a)),  # a null id near one that has an id
+            (None, clean[0]), (None, clean[1]),
+            (2, " ".join(b)), (7, near(b)), (7, clean[2]),  # an id on a near copy and on a clean text
+            (None, " ".join(c)), (None, near(c)), (None, near(c, 2)),  # null ids alone
+            (9, " ".join(d)), (9, near(d)), (9, near(d)),  # one id alone, a row of it twice
+            (11, clean[3]), (11, clean[3]), (None, ""), (None, None), (12, " ")]
+    kept = corpus_pipeline.near(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "").collect()
+    got = sorted((r.doc_id or 0, r.text or "") for r in kept)
+    sure = [(1, " ".join(a)), (0, clean[0]), (0, clean[1]), (2, " ".join(b)), (7, clean[2]), (11, clean[3]), (0, ""), (0, ""), (12, " ")]
+    rest = [x for x in got if x not in sure]
+    assert sorted(x for x in got if x in sure) == sorted(sure)
+    assert len(rest) == 2 and rest[0] in [(0, " ".join(c)), (0, near(c)), (0, near(c, 2))] and rest[1] in [(9, " ".join(d)), (9, near(d))]

@@ -394,14 +394,19 @@ def _prefixes(levels: np.ndarray) -> Callable:
     return prefix
 
 
-def near_groups(docs: DataFrame, token_block: int = TOKEN_BLOCK, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
-    """doc_id, n_shingles and component_id of every document."""
+def row_key():
+    """A hash of the id and the text of a row: rows that agree in both share it."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")))
+
+
+def rooted_rows(docs: DataFrame, token_block: int = TOKEN_BLOCK, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+    """doc_id, key, n_shingles, root (null without shingles: alone) and component_id of every document."""
     small_batches(docs.sparkSession)
     spark = docs.sparkSession
     part_bits = int(math.log2(near_log(n_partitions(spark), 2, 1 << 20)))
     slots = near_log(4096 * n_partitions(spark), 1 << 14, 1 << 22)
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    keyed = keyed.withColumn("key", F.xxhash64("doc_id", "text"))
+    keyed = keyed.withColumn("key", row_key())
     marked = settle(keyed.select("doc_id", "key", "text").mapInArrow(_summaries, "doc_id long, key long, n long, set_id binary"))
     classes = settle(marked.filter("n > 0").groupBy("set_id").agg(F.min("key").alias("key"), F.min("doc_id").alias("least")))
     shared = shared_grams(keyed, _grams(part_bits), part_bits, _enough)
@@ -416,6 +421,29 @@ def near_groups(docs: DataFrame, token_block: int = TOKEN_BLOCK, block_shingles:
     roots = components(links).withColumnRenamed("node", "key")
     rooted = classes.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_set = rooted.join(least, "root").select("set_id", "component_id")
+    by_set = rooted.join(least, "root").select("set_id", "root", "component_id")
     return marked.join(by_set, "set_id", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+        "doc_id", "key", F.col("n").alias("n_shingles"), "root",
+        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def near_groups(docs: DataFrame, token_block: int = TOKEN_BLOCK, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+    """doc_id, n_shingles and component_id of every document."""
+    return rooted_rows(docs, token_block, block_shingles).select("doc_id", "n_shingles", "component_id")
+
+
+def keep_nearest(docs: DataFrame) -> DataFrame:
+    """Of each component the row with the smallest id that is not null, as it came; rows without shingles all stay.
+
+    Rows are told apart by ``row_key``, not by id: ids may be null or occur twice.
+    """
+    rows = settle(rooted_rows(docs).filter("root is not null").groupBy("root", "key")
+                  .agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n")))
+    first = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first"))
+    first = first.select("root", F.col("first.key").alias("kept"))
+    judged = rows.join(first, "root").select(F.col("key").alias("_key"), (F.col("key") == F.col("kept")).alias("_first"), "n")
+    judged = settle(judged.filter("not _first or n > 1"))
+    plain = docs.withColumn("_key", row_key())
+    stay = plain.join(judged.select("_key"), "_key", "left_anti").select(docs.columns)
+    again = plain.join(judged.filter("_first").select("_key"), "_key", "left_semi")  # the kept row, written several times
+    return stay.unionByName(again.dropDuplicates(["_key"]).select(docs.columns))
