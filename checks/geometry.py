@@ -37,19 +37,22 @@ def validity_counts(spark, sf):
 
 
 @query("g2_repair", with_(
-    "za", "SELECT k AS zone_id, CASE WHEN k % 8 < 4 THEN 'good' ELSE 'quarantine' END AS outcome, "
-    "CASE k % 8 WHEN 4 THEN 'flat or empty' WHEN 5 THEN 'self crossing' WHEN 6 THEN 'flat or empty' WHEN 7 THEN 'null' END AS defect, "
-    "coalesce(k % 8 IN (1, 2, 3, 4), false) AS repaired, CASE WHEN k % 8 < 4 THEN area END AS area FROM za"))
+    "za", "SELECT k AS zone_id, CASE WHEN k % 8 < 4 OR k % 8 = 5 THEN 'good' ELSE 'quarantine' END AS outcome, "
+    "CASE k % 8 WHEN 4 THEN 'flat or empty' WHEN 6 THEN 'flat or empty' WHEN 7 THEN 'null' END AS defect, "
+    "coalesce(k % 8 IN (1, 2, 3, 4, 5), false) AS repaired, CASE WHEN k % 8 = 5 THEN 2 ELSE 1 END AS shells, "
+    # the two triangles of the bow-tie meet a third along: 32 * 64 / 3 / 2 and 64 * 128 / 3 / 2
+    "round(CASE WHEN k % 8 < 4 THEN area WHEN k % 8 = 5 THEN (32 * 64 + 64 * 128) / 6.0::DOUBLE END, 6) AS area FROM za"))
 def repair(spark, sf):
+    """Crossing rings come back as the polygons of their even-odd set."""
     good, bad = Q.repair_zones(V.broken(spark, sf), ["zone_id"])
     why = F.when(F.col("defect") == "empty", F.lit("flat or empty")).otherwise(F.col("defect"))
     return good.select(
         "zone_id", F.lit("good").alias("outcome"), F.lit(None).cast("string").alias("defect"),
-        "repaired", R.area(ring_column()).alias("area"),
+        "repaired", F.size("rings").alias("shells"), F.round(R.area(ring_column()), 6).alias("area"),
     ).unionByName(
         bad.select(
             "zone_id", F.lit("quarantine").alias("outcome"), why.alias("defect"), "repaired",
-            F.lit(None).cast("double").alias("area"),
+            F.lit(1).alias("shells"), F.lit(None).cast("double").alias("area"),
         )
     )
 
@@ -124,6 +127,25 @@ def area_spheroid(spark, sf):
     )
 
 
+_E2 = f"{R.FLATTENING * (2 - R.FLATTENING)!r}::DOUBLE"
+_Q = f"(1 - {_E2}) * ({{0}} / (1 - {_E2} * {{0}} * {{0}}) + ln((1 + sqrt({_E2}) * {{0}}) / (1 - sqrt({_E2}) * {{0}})) / (2 * sqrt({_E2})))"
+
+
+@query("g10_area_geodesic", with_(
+    "e", "SELECT k AS zone_id, round(abs(sum(2 * atan(tan(radians((x2 - x1) / 1024) / 2) * sin((a + b) / 2) / cos((a - b) / 2)))) "
+    f"* 6378.137 * 6378.137 * any_value(pole) / 2, 3) AS km2 FROM lat GROUP BY k",
+    lat=f"SELECT *, asin({_Q.format('sin(radians(y1 / 1024))')} / pole) AS a, asin({_Q.format('sin(radians(y2 / 1024))')} / pole) AS b "
+    f"FROM e, (SELECT {_Q.format('1.0::DOUBLE')} AS pole)"))
+def area_geodesic(spark, sf):
+    degrees = F.transform(
+        ring_column(),
+        lambda r: F.transform(
+            r, lambda p: F.struct((p["x"] / 1024).alias("x"), (p["y"] / 1024).alias("y"))
+        ),
+    )
+    return V.zones(spark, sf).select("zone_id", F.round(R.area_geodesic_km2(degrees), 3).alias("km2"))
+
+
 @query("g11_polygonal_only",
        "SELECT p_partkey AS zone_id, CASE WHEN p_partkey % 8 IN (4, 6) THEN 0 ELSE 1 END AS kept FROM part WHERE p_partkey % 8 <> 7")
 def polygonal_only(spark, sf):
@@ -147,7 +169,7 @@ def types(spark, sf):
 
 
 @query("g12_wkb_round_trip", with_(
-    "za", "SELECT k AS zone_id, area - 64 + 1024 AS area, 5 + 4 * 2 + 4 AS header, 9 + 5 + 5 AS nverts, "
+    "za", "SELECT k AS zone_id, area - 64 + 1024 AS area, 9 + 5 + 5 AS nverts, "
     "1 + 4 + 4 + (1 + 4 + 4 + 4 + 9 * 16 + 4 + 5 * 16) + (1 + 4 + 4 + 4 + 5 * 16) AS bytes FROM za"))
 def wkb_round_trip(spark, sf):
     from zoneloom.session import ship_kernels
@@ -156,7 +178,7 @@ def wkb_round_trip(spark, sf):
     packed = V.zones_multi(spark, sf).select("zone_id", W.to_wkb(ring_column()).alias("wkb"))
     back = packed.select("zone_id", F.length("wkb").alias("bytes"), W.from_wkb("wkb").alias("rings"))
     return back.select(
-        "zone_id", R.area(ring_column()).alias("area"), F.lit(17).alias("header"),
+        "zone_id", R.area(ring_column()).alias("area"),
         R.vertex_count(ring_column()).alias("nverts"), "bytes",
     )
 
@@ -299,10 +321,36 @@ def subdivide_stats(spark, sf):
     )
 
 
-@query("g20_subdivide_ratio")
+# a square of 64 edges a side is cut into halves of 130 coordinates and quarters of 67
+@query("g20_subdivide_ratio",
+       "SELECT count(*) AS input_rows, 4 * count(*) AS output_rows, 257 AS max_input_vertices, 67 AS max_output_vertices, "
+       "CAST(4 AS DOUBLE) AS ratio FROM part")
 def subdivide_ratio(spark, sf):
-    zones = V.zones512(spark, sf)
-    return S.subdivide_stats(zones, S.subdivide(zones, KEYS))
+    squares = V.fine_squares(spark, sf)
+    return S.subdivide_stats(squares, S.subdivide(squares, KEYS))
+
+
+@query("g19_table_function", with_(
+    "zk", "SELECT k AS zone_id, q AS piece_id, 67 AS nverts, CAST(4096 AS DOUBLE) AS area FROM zk, (VALUES (0), (1), (2), (3)) AS p(q)"))
+def table_function(spark, sf):
+    """Pieces by a table function called in SQL text."""
+    S.register_functions(spark)
+    zones = V.fine_squares(spark, sf)
+    rows = spark.sql("SELECT z.zone_id, p.* FROM {zones} z, LATERAL subdivide_pieces(z.rings, 100) p", zones=zones)
+    return rows.select("zone_id", "piece_id", "nverts", R.area(ring_column()).alias("area"))
+
+
+@query("g17_piece_boxes",
+       f"SELECT p_partkey AS zone_id, q AS piece_id, CAST((p_partkey * 7919) % {V.SIDE} - 64 + 64 * (q // 2) AS DOUBLE) AS xmin, "
+       f"CAST((p_partkey * 104729) % {V.SIDE} - 64 + 64 * (q % 2) AS DOUBLE) AS ymin, "
+       f"CAST((p_partkey * 7919) % {V.SIDE} + 64 * (q // 2) AS DOUBLE) AS xmax, "
+       f"CAST((p_partkey * 104729) % {V.SIDE} + 64 * (q % 2) AS DOUBLE) AS ymax FROM part, (VALUES (0), (1), (2), (3)) AS p(q)")
+def piece_boxes(spark, sf):
+    """Where every piece lies and how it is numbered, cut through rounds and in one go."""
+    squares = V.fine_squares(spark, sf)
+    whole = S.subdivide(squares, KEYS)
+    rounds = S.subdivide(squares, KEYS, inline_limit=140)
+    return whole.join(rounds, ["zone_id", "piece_id", "bbox"]).select("zone_id", "piece_id", "bbox.*")
 
 
 @query("g21_estimate", "SELECT p_partkey AS zone_id, CAST(ceil(513 / 100.0) * 2 AS BIGINT) AS estimate FROM part")
@@ -312,12 +360,11 @@ def estimate(spark, sf):
 
 
 @query("g22_cap_variants",
-       "SELECT cap, count(*) AS input_rows, true AS within_cap FROM part, (VALUES (100), (256), (512)) AS c(cap) GROUP BY cap")
+       "SELECT cap, n AS input_rows, pieces * n AS output_rows, most AS max_output_vertices, CAST(pieces AS DOUBLE) AS ratio "
+       "FROM (SELECT count(*) AS n FROM part), (VALUES (100, 4, 67), (256, 2, 130), (512, 1, 257)) AS c(cap, pieces, most)")
 def cap_variants(spark, sf):
-    rows = S.cap_variants(V.zones512(spark, sf), KEYS)
-    return rows.select(
-        "cap", "input_rows", (F.col("max_output_vertices") <= F.col("cap")).alias("within_cap")
-    )
+    rows = S.cap_variants(V.fine_squares(spark, sf), KEYS)
+    return rows.select("cap", "input_rows", "output_rows", "max_output_vertices", "ratio")
 
 
 @query("g26_grid_subdivide", with_(

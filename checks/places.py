@@ -12,7 +12,7 @@ from zoneloom.functions import grid as G
 from zoneloom.functions import rings as R
 from zoneloom.operators import joins as J
 from zoneloom.operators import reports as P
-from zoneloom.session import workspace
+from zoneloom.session import settle, workspace
 from zoneloom.sources import layout as L
 
 HITS = with_("hits", "SELECT o_orderkey, k AS zone_id FROM hits")
@@ -62,7 +62,8 @@ def hot_cells(spark, sf):
 
 @query("j1b_edge_band_join", HITS)
 def edge_band_join(spark, sf):
-    zones = V.zones512(spark, sf).select("zone_id", "rings")
+    # stored, as zones are: the join looks at them more than once
+    zones = settle(R.with_measures(V.zones512(spark, sf).select("zone_id", "rings")))
     return J.point_in_giant_zone(
         V.points(spark, sf), zones, ["o_orderkey"], ["zone_id"], V.CELL
     )
@@ -177,12 +178,12 @@ def file_budget(spark, sf):
 @query("j7_two_step", with_(
     "hits hil", "SELECT o_orderkey, k AS zone_id, file FROM hits JOIN f USING (k)", f=FILES))
 def two_step(spark, sf):
-    zones = published(spark, sf)
-    hits = J.two_step_lookup(
-        V.points(spark, sf), published_index(zones), zones.select("file", "zone_id", "rings", "bbox"),
-        "file", V.CELL,
-    )
-    return hits.select("o_orderkey", "zone_id", "file")
+    """The published set is stored by file; the index says which files a run of points needs to read."""
+    root = workspace(spark, "published")
+    L.write_units(published(spark, sf), root, ["file"])
+    index = P.extent(L.scan(spark, root), "file")
+    hits = L.two_step_scan(V.points(spark, sf), index, root, "file", V.CELL, ["zone_id", "rings", "bbox"])
+    return hits.select("o_orderkey", "zone_id", F.col("file").cast("bigint").alias("file"))
 
 
 @query("j8_generated_points", with_(
@@ -267,11 +268,26 @@ def layered_scan(spark, sf):
 @query("s2_file_list_scan", with_(
     "zk", "SELECT state, county, count(*) AS zones FROM zk WHERE state IN ('MA', 'UT') GROUP BY ALL"))
 def file_list_scan(spark, sf):
+    """Only the folders that the index names are read; the list stays on the executors."""
     root = unit_layout(spark, sf)
-    index = L.file_index(spark, root).where("state IN ('MA', 'UT')").orderBy("path")
-    # the list a reader asks for: one entry per file of two states
-    paths = [r.path for r in index.select("path").toLocalIterator()]
-    return L.scan_files(spark, root, paths).groupBy(*UNITS).agg(F.count("*").alias("zones"))
+    chosen = L.file_index(spark, root).where("state IN ('MA', 'UT')")
+    return L.scan_chosen(spark, root, chosen, UNITS).groupBy(*UNITS).agg(F.count("*").alias("zones"))
+
+
+@query("s3_unit_row_keys", with_(
+    "zk", "SELECT state, county, count(*) AS rows, count(*) AS keys, CAST(0 AS BIGINT) AS first, count(*) - 1 AS last, "
+    "count(*) > 7 AS several_files FROM zk GROUP BY ALL"))
+def unit_row_keys(spark, sf):
+    """Row keys of units that are spread over several files: gapless within the unit."""
+    root = workspace(spark, "units")
+    L.write_units(measured_zones(spark, sf), root, order=["zone_id"], rows_per_file=7)
+    rows = L.scan_numbered(spark, root)
+    files = L.partition_files(spark, root, UNITS).groupBy(*UNITS).agg(F.count("*").alias("files"))
+    keys = rows.groupBy(*UNITS).agg(
+        F.count("*").alias("rows"), F.count_distinct("file_row_number").alias("keys"),
+        F.min("file_row_number").alias("first"), F.max("file_row_number").alias("last"),
+    )
+    return keys.join(files, UNITS).select(*UNITS, "rows", "keys", "first", "last", (F.col("files") > 1).alias("several_files"))
 
 
 @query("s4_replace_one_unit", with_(
@@ -312,16 +328,14 @@ def cell_layout_query(spark, sf):
 
 
 @query("s5_hot_cells_spread", with_(
-    "zc", "SELECT concat(ci, '_', cj) AS cell, count(*) AS rows, count(*) > 8 AS spread FROM zc GROUP BY ci, cj"))
+    "zc", "SELECT concat(ci, '_', cj) AS cell, count(*) AS rows, CAST(ceil(count(*) / 8.0) AS BIGINT) AS files FROM zc GROUP BY ci, cj"))
 def hot_cells_spread(spark, sf):
     """Cells above eight rows take several files; the others keep to one."""
     root = workspace(spark, "hot-cells")
     L.write_cells(
         measured_zones(spark, sf), root, 2 * V.CELL // 2, V.DOMAIN, V.BITS, rows_per_file=8
     )
-    index = L.cell_index(spark, root)
-    sound = index.join(L.extra_files(index, 8).select("cell"), "cell", "left_anti")
-    return sound.select("cell", "rows", (F.col("rows") > 8).alias("spread"))
+    return L.cell_index(spark, root).select("cell", "rows", "files")
 
 
 @query("s6_global_hilbert_layout",
@@ -368,15 +382,18 @@ def file_index(spark, sf):
        "SELECT count(*) AS rows, true AS within_group, true AS zstd, 'v1' AS layout FROM part "
        "UNION ALL SELECT count(*), true, true, 'global' FROM part")
 def footer_audit(spark, sf):
-    units = unit_layout(spark, sf)
-    whole = workspace(spark, "global")
-    L.write_global_order(measured_zones(spark, sf), whole, V.DOMAIN, V.BITS, group_rows=500)
+    """Rows by file of the written layers against their limit, and the codec that the writer puts in the file names."""
+    units, whole = workspace(spark, "units"), workspace(spark, "global")
+    L.write_units(measured_zones(spark, sf), units, rows_per_file=50)
+    L.write_global_order(measured_zones(spark, sf), whole, V.DOMAIN, V.BITS, files=4, maxRecordsPerFile="500")
     out = None
-    for name, root, most in (("v1", units, L.SILVER_GROUP), ("global", whole, 500)):
-        audit = L.footer_audit(spark, root).agg(
+    for name, root, most in (("v1", units, 50), ("global", whole, 500)):
+        path = F.col("_metadata.file_path")
+        files = spark.read.parquet(root).groupBy(path.alias("path")).agg(F.count("*").alias("rows"))
+        audit = files.agg(
             F.sum("rows").alias("rows"),
             (F.max("rows") <= most).alias("within_group"),
-            F.bool_and(F.col("compression") == "ZSTD").alias("zstd"),
+            F.bool_and(F.col("path").contains(".zstd.")).alias("zstd"),
             F.lit(name).alias("layout"),
         )
         out = audit if out is None else out.unionByName(audit)

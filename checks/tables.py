@@ -48,6 +48,12 @@ def normalize_zones(spark, sf):
     return N.normalize(V.bronze(spark, sf))
 
 
+@query("p12_show_sql", with_("silver", f"SELECT {SILVER} FROM silver"))
+def show_sql(spark, sf):
+    """The mapping as text, run as it reads."""
+    return spark.sql(N.mapping_sql(N.ZONE_MAPPING, "{bronze}"), bronze=V.bronze(spark, sf))
+
+
 @query("p3_null_if_default", with_(
     "bronze", "SELECT k, nullif(nullif(k % 6, 2), 4) AS code, "
     "coalesce(nullif(k % 4, 0), 77) AS filled, "
@@ -338,11 +344,6 @@ def prune(spark, sf):
     return tag(kept, "kept").unionByName(tag(removed, "removed"))
 
 
-@query("k11_drop_state", with_("log", "SELECT state, county, status FROM log WHERE state <> 'UT'"))
-def drop_state(spark, sf):
-    return K.drop_state(V.import_log(spark, sf), "UT").select(*K.KEY, "status")
-
-
 @query("k13_added_column", with_(
     "log", "SELECT state, county, CAST(NULL AS VARCHAR) AS zip_name, CAST(NULL AS VARCHAR) AS bronze_crs, status FROM log"))
 def added_column(spark, sf):
@@ -437,36 +438,6 @@ def key_difference(spark, sf):
     return V.import_log(spark, sf).select(*K.KEY).subtract(V.feed(spark, sf).select(*K.KEY))
 
 
-@query("k9_update_flow", with_(
-    "log feed zk",
-    "SELECT state, county, fema_update_date, bronze_rows2 AS bronze_rows, silver_rows2 AS silver_rows, "
-    "subdivided_rows2 AS subdivided_rows, status2 AS status, error2 AS error FROM s3",
-    up="SELECT l.*, greatest(f.fema_update_date, l.fema_update_date) AS date2, "
-    "CASE WHEN f.fema_update_date > l.fema_update_date THEN 0 ELSE l.s END AS s0, "
-    "CASE WHEN n % 7 = 0 THEN 0 WHEN k % 6 = 0 THEN 1 ELSE 3 END AS have "
-    "FROM log l LEFT JOIN feed f USING (state, county)",
-    rec="SELECT *, least(s0, have) AS s1, CASE WHEN have < s0 THEN "
-    "concat('reconcile: files for status ', ['new', 'bronze', 'silver', 'subdivided'][s0 + 1], ' missing') ELSE error END AS e1 FROM up",
-    n_units="SELECT count(*) AS m FROM supplier",
-    rows_of="SELECT zone_id % (SELECT m FROM n_units) AS k, count(*) AS r FROM zk GROUP BY 1",
-    s3="SELECT u.state, u.county, date2 AS fema_update_date, "
-    "CASE WHEN run0 AND r > 0 THEN r ELSE bronze_rows END AS bronze_rows2, "
-    "CASE WHEN run1 THEN r ELSE silver_rows END AS silver_rows2, "
-    "CASE WHEN run2 THEN r ELSE subdivided_rows END AS subdivided_rows2, "
-    "CASE WHEN run2 THEN 'subdivided' ELSE ['new', 'bronze', 'silver', 'subdivided'][s1 + 1] END AS status2, "
-    "CASE WHEN run2 THEN NULL ELSE e1 END AS error2 FROM ("
-    "SELECT rec.*, coalesce(r, 0) AS r, bronze_at IS NOT NULL AND s1 = 0 AS run0, "
-    "bronze_at IS NOT NULL AND s1 < 2 AS run1, bronze_at IS NOT NULL AND s1 < 3 AS run2 "
-    "FROM rec LEFT JOIN rows_of USING (k)) u"))
-def update_flow(spark, sf):
-    from checks.flow import run_update
-
-    done = run_update(spark, sf)
-    return done.select(
-        *K.KEY, "fema_update_date", "bronze_rows", "silver_rows", "subdivided_rows", "status", "error"
-    )
-
-
 # ------------------------------------------------------------------ reports
 @query("a2_validation_report", with_(
     "log silver zk", "SELECT (SELECT count(*) FROM silver) AS rows, CAST(0 AS BIGINT) AS invalid, "
@@ -484,18 +455,3 @@ def validation_report(spark, sf):
     "SELECT risk, sum(area) AS area FROM silver JOIN za USING (k) GROUP BY risk)"))
 def area_by_risk(spark, sf):
     return P.area_by_risk(V.silver(spark, sf), R.area(F.col("rings")))
-
-
-@query("a16_benchmark_append",
-       "SELECT event_type AS name, 'run' AS layout, round(median(ms), 1) AS elapsed_ms, "
-       "max(event_id) AS rows, count(*) AS runs, printf('%.2f ms per lookup', round(median(ms), 1) / 10) AS notes "
-       "FROM (SELECT event_type, event_id, event_id % 1000 / 4 AS ms FROM events) GROUP BY event_type")
-def benchmark_append(spark, sf):
-    runs = V.table(spark, sf, "events").select(
-        F.col("event_type").alias("name"),
-        F.lit("run").alias("layout"),
-        (F.col("event_id") % 1000 / 4).alias("elapsed_ms"),
-        F.col("event_id").alias("rows"),
-    )
-    early, late = runs.where("rows % 2 = 0"), runs.where("rows % 2 = 1")
-    return P.benchmark_rows(early.unionByName(late), ["name", "layout"], lookups=10)

@@ -167,6 +167,23 @@ def zones512(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def fine_squares(spark: SparkSession, sf: str, steps: int = 64) -> DataFrame:
+    """Squares of side 128 with ``steps`` edges a side: what is cut from them can be counted by hand."""
+    rows = table(spark, sf, "part").select(F.col("p_partkey").alias("k"))
+    cx, cy = centre()
+    d = lambda v: v.cast("double")
+    at = lambda i: F.least(F.greatest(i, F.lit(0)), F.lit(steps)) * (128 // steps) - 64
+    # once round from the lower left: each coordinate rises along one side and falls along the opposite one
+    ring = F.transform(
+        F.sequence(F.lit(0), F.lit(4 * steps)),
+        lambda i: F.struct(
+            d(cx + F.when(i <= 2 * steps, at(i)).otherwise(at(3 * steps - i))).alias("x"),
+            d(cy + F.when(i <= 2 * steps, at(i - steps)).otherwise(at(4 * steps - i))).alias("y"),
+        ),
+    )
+    return rows.select(F.col("k").alias("zone_id"), F.expr(STATE).alias("state"), F.expr(COUNTY).alias("county"), F.array(ring).alias("rings"))
+
+
 def zones_holes(spark: SparkSession, sf: str) -> DataFrame:
     """Stars with a square hole of side 8 round the centre."""
     rows = table(spark, sf, "part").select(F.col("p_partkey").alias("k"))

@@ -69,7 +69,7 @@ def map_parts(batches, geometry: str, work, chunk_points: int = 500_000):
                 out.append(piece)
                 for name, (kind, value) in more.items():
                     extra.setdefault(name, (kind, []))[1].append(value)
-                points += sum(len(r) for r in piece)
+                points += sum(len(r) for r in piece or ())
                 if points >= chunk_points:
                     yield flush()
                     rows, out, extra, points = [], [], {}, 0

@@ -105,7 +105,7 @@ def worklist(
         units = units.where(F.col("state") == state)
     if counties:
         units = units.where(F.col("county").isin(counties))
-    return units.select(*KEY, "fema_update_date", "source_url").orderBy(*KEY)
+    return units.select(*KEY, "fema_update_date", "source_url")
 
 
 def mark(log: DataFrame, results: DataFrame, stage: str) -> DataFrame:
@@ -137,7 +137,7 @@ def mark(log: DataFrame, results: DataFrame, stage: str) -> DataFrame:
 
 def completed(log: DataFrame, stage: str = "subdivided") -> DataFrame:
     """Units whose last completed stage is ``stage``."""
-    return log.where(F.col("status") == stage).select(*KEY).orderBy(*KEY)
+    return log.where(F.col("status") == stage).select(*KEY)
 
 
 def never_loaded(log: DataFrame, state: str | None = None) -> DataFrame:
@@ -302,7 +302,9 @@ class LogStore:
         return self.spark.read.schema("version int").json(f"{self.root}/versions")
 
     def save(self, log: DataFrame, version: int) -> int:
-        log.write.mode("overwrite").parquet(f"{self.root}/v{version:06d}")
+        from zoneloom.sources.layout import write_parquet
+
+        write_parquet(log, f"{self.root}/v{version:06d}")
         self.spark.range(1).select(F.lit(version).alias("version")).write.mode("append").json(
             f"{self.root}/versions"
         )
@@ -311,6 +313,22 @@ class LogStore:
     def last_version(self) -> int:
         return self._versions().agg(F.max("version")).first()[0]
 
+    def append_benchmarks(self, runs: DataFrame) -> None:
+        """Measurements beside those stored before; columns that ``runs`` lacks are NULL, others are refused."""
+        from zoneloom.sources.layout import write_parquet
+
+        empty = self.spark.createDataFrame([], BENCHMARK_SCHEMA)
+        extra = set(runs.columns) - set(empty.columns)
+        if extra:
+            raise ValueError(f"no such benchmark columns: {sorted(extra)}")
+        rows = empty.unionByName(runs, allowMissingColumns=True)
+        kept = [F.col(c).cast(t).alias(c) for c, t in empty.dtypes]
+        write_parquet(rows.select(*kept), f"{self.root}/benchmarks", mode="append")
+
+    def benchmarks(self) -> DataFrame:
+        """All measurements appended so far."""
+        return self.spark.read.schema(BENCHMARK_SCHEMA).parquet(f"{self.root}/benchmarks")
+
     def load(self) -> DataFrame:
         stored = self.spark.read.parquet(f"{self.root}/v{self.last_version():06d}")
         return conform(stored, empty_log(self.spark))

@@ -22,6 +22,7 @@ NAMED_CELLS = 4096  # of a viewport, named in its filter
 LISTED_KEYS = 100_000  # hot keys that are broadcast; more are joined with salt
 SALTS = 64
 REFINE = 16
+MOST_LEVELS = 24  # of a zone's tree of edges
 
 
 def hot_keys(left: DataFrame, right: DataFrame, on: list[str], hot_pairs: int) -> tuple[DataFrame, int]:
@@ -205,49 +206,112 @@ def point_in_zone(
     return match_points(points, filed, size, boundary, hot_pairs)
 
 
+def _shift(op: str, value: Column, by: Column) -> Column:
+    return F.call_function(op, value, by.cast("int"))
+
+
+def tree_nodes(first: Column, last: Column, levels: Column) -> Column:
+    """The nodes of a binary tree over ``2^levels`` leaves that together cover leaves ``first..last``, and no
+    others: at most two a level. A node is numbered as in a heap, so its parent is half its number."""
+    one = F.lit(1).cast("bigint")
+
+    def of_level(up):
+        width = _shift("shiftleft", one, up)
+        lo = _shift("shiftright", first + width - 1, up)
+        hi = _shift("shiftright", last + 1, up) - 1
+        base = _shift("shiftleft", one, levels - up)
+        # whole blocks whose parent is not whole: an odd one at the start, an even one at the end
+        odd, even = (lo <= hi) & (lo % 2 == 1), (lo <= hi) & (hi % 2 == 0)
+        return F.array(F.when(odd, base + lo), F.when(even, base + hi))
+
+    return F.filter(
+        F.flatten(F.transform(F.sequence(F.lit(0).cast("bigint"), levels), of_level)), lambda n: n.isNotNull()
+    )
+
+
+def tree_path(leaf: Column, levels: Column) -> Column:
+    """The nodes above a leaf, itself included: ``levels + 1`` of them."""
+    at = _shift("shiftleft", F.lit(1).cast("bigint"), levels) + leaf
+    return F.transform(F.sequence(F.lit(0).cast("bigint"), levels), lambda up: _shift("shiftright", at, up))
+
+
+def _ring_edges(df: DataFrame, keep: list[str]) -> DataFrame:
+    """One row per edge, read off the exploded points: no array of edges is built."""
+    return (
+        df.select(*keep, F.explode("rings").alias("r"))
+        .select(*keep, "r", F.posexplode("r").alias("i", "a"))
+        .select(
+            *keep,
+            F.struct(
+                F.col("a.x").alias("x1"), F.col("a.y").alias("y1"),
+                F.get("r", F.col("i") + 1)["x"].alias("x2"), F.get("r", F.col("i") + 1)["y"].alias("y2"),
+            ).alias("e"),
+        )
+        .where("e.x2 IS NOT NULL")
+    )
+
+
+def edge_tree(zones: DataFrame, zone_keys: list[str]) -> DataFrame:
+    """Edges of ``zones`` (with ``bbox, levels``) at the nodes of their zone's tree over its height: ``keys.., node, e``."""
+    e = F.col("e")
+    rows = _ring_edges(zones, [*zone_keys, "bbox", "levels"])
+    low, high = _leaf(F.least(e["y1"], e["y2"])), _leaf(F.greatest(e["y1"], e["y2"]))
+    at = rows.select(*zone_keys, "e", "levels", low.alias("low"), high.alias("high"))
+    leaf = _shift("shiftleft", F.lit(1).cast("bigint"), F.col("levels")) + F.col("low")
+    nodes = F.when(F.col("low") == F.col("high"), F.array(leaf)).otherwise(
+        tree_nodes(F.col("low"), F.col("high"), F.col("levels"))
+    )
+    return at.select(*zone_keys, "e", F.explode(nodes).alias("node"))
+
+
+def _leaf(y: Column) -> Column:
+    """The leaf that a height falls on; heights keep their order, so an edge covers the leaf of every height it spans."""
+    b = F.col("bbox")
+    leaves = _shift("shiftleft", F.lit(1).cast("bigint"), F.col("levels"))
+    at = F.floor((y - b["ymin"]) / F.nullif(b["ymax"] - b["ymin"], F.lit(0.0)) * leaves).cast("bigint")
+    return F.coalesce(F.greatest(F.lit(0).cast("bigint"), F.least(at, leaves - 1)), F.lit(0).cast("bigint"))
+
+
+def with_levels(zones: DataFrame) -> DataFrame:
+    """Add ``levels``: a tree of about as many leaves as the zone has coordinates."""
+    size = F.col("nverts") if "nverts" in zones.columns else R.vertex_count(F.col("rings"))
+    levels = F.ceil(F.log2(F.greatest(size, F.lit(2)).cast("double"))).cast("bigint")
+    return zones.withColumn("levels", F.least(levels, F.lit(MOST_LEVELS).cast("bigint")))
+
+
 def point_in_giant_zone(
     points: DataFrame,
     zones: DataFrame,
     point_keys: list[str],
     zone_keys: list[str],
     size: float,
-    edges_per_band: int = 32,
 ) -> DataFrame:
-    """The same match for uncut polygons of any size: edges become rows, dealt to y-bands.
+    """The same match for uncut polygons of any size: edges become rows of a segment tree over the zone's height.
 
-    Only keys and boxes meet in the cells; each candidate then sees the edges of its own band of
-    that zone, and the crossings are summed. No row holds a whole polygon after the scan.
+    Only keys and boxes meet in the cells. An edge is stored at the few nodes that cover its heights, at most
+    two a level however long it is, and a point asks the nodes above its own height: it sees the edges that
+    reach that height and no others. The crossings are summed. No row holds a whole polygon after the scan.
     """
-    b = F.col("bbox")
-    wide = with_edges(zones).where("bbox IS NOT NULL").withColumn(
-        "bands",
-        F.greatest(F.lit(1), F.ceil(F.size("edges") / edges_per_band)).cast("bigint"),
-    )
-
-    def band(v):
-        height = F.nullif(b["ymax"] - b["ymin"], F.lit(0.0))
-        at = F.floor((v - b["ymin"]) / height * F.col("bands"))
-        return F.coalesce(F.least(at, F.col("bands") - 1), F.lit(0)).cast("bigint")
-
+    wide = with_levels(with_box(zones).where("bbox IS NOT NULL"))
+    x, y = F.col("x"), F.col("y")
     candidates = (
         dealt_join(
             G.with_point_cell(points.select(*point_keys, "x", "y"), size),
-            G.with_box_cells(wide.select(*zone_keys, "bbox", "bands"), size),
+            G.with_box_cells(wide.select(*zone_keys, "bbox", "levels"), size),
             CELL,
         )
-        .where(R.box_has_point(b, F.col("x"), F.col("y")))
-        .select(*point_keys, *zone_keys, "x", "y", band(F.col("y")).alias("band"))
+        .where(R.box_has_point(F.col("bbox"), x, y))
+        .select(*point_keys, *zone_keys, "x", "y", _leaf(y).alias("leaf"), "levels")
+    )
+    # stored: the next join counts its keys first, and would match points and boxes a second time for it
+    candidates = settle(candidates)
+    asked = candidates.select(
+        *point_keys, *zone_keys, "x", "y", F.explode(tree_path(F.col("leaf"), F.col("levels"))).alias("node")
     )
     e = F.col("e")
-    lows = band(F.least(e["y1"], e["y2"]))
-    highs = band(F.greatest(e["y1"], e["y2"]))
-    banded = wide.select(
-        *zone_keys, "bbox", "bands", F.explode("edges").alias("e")
-    ).select(*zone_keys, "e", F.explode(F.sequence(lows, highs)).alias("band"))
-    x, y = F.col("x"), F.col("y")
     on_edge, crosses = R.edge_has_point(e, x, y), R.edge_crosses_ray(e, x, y)
     return (
-        dealt_join(candidates, banded, [*zone_keys, "band"])
+        dealt_join(asked, edge_tree(wide, zone_keys), [*zone_keys, "node"])
         .where(on_edge | crosses)
         .groupBy(*point_keys, *zone_keys)
         .agg(F.bool_or(on_edge).alias("touch"), F.count_if(crosses).alias("crossings"))
@@ -331,7 +395,8 @@ def read_viewport(
 
     Only cells that overlap the box are scanned: their names are literals, up to ``NAMED_CELLS`` of
     them, so that partitions are pruned when the scan is planned; a larger box joins its cells. The
-    box predicate prunes row groups. ``hide`` leaves out one risk class.
+    box predicate prunes row groups. ``hide`` leaves out one risk class. A piece is taken from the
+    first of its cells in the view, which its row tells by itself, so nothing is grouped or shuffled.
     """
     view = R.envelope(*box)
     b = F.col("bbox")
@@ -347,9 +412,27 @@ def read_viewport(
         rows = layout.where(near).join(box_cells(layout.sparkSession, box, size), "cell", "left_semi")
     if hide:
         rows = rows.where(F.col("risk") != hide)
-    rows = rows.where(R.intersects_box(R.edges(F.col("rings")), view))
+    edges = R.edges(F.col("rings"))
+    rows = rows.where(R.intersects_box(edges, view))
     keep = [c for c in rows.columns if c not in (*key, "cell", "ci", "cj")]
-    return rows.groupBy(*key).agg(*[F.min_by(c, "cell").alias(c) for c in keep])
+    west, east = G.cell_index(b["xmin"], size), G.cell_index(b["xmax"], size)
+    south, north = G.cell_index(b["ymin"], size), G.cell_index(b["ymax"], size)
+    first_i, first_j = F.greatest(west, F.lit(across[0])), F.greatest(south, F.lit(along[0]))
+    last_j = F.least(north, F.lit(along[-1]))
+    ci, cj = F.col("ci"), F.col("cj")
+    # cells of its box in the view that come before the row's own; few, as a piece is small
+    before = F.flatten(
+        F.transform(
+            F.sequence(first_i, ci),
+            lambda i: F.filter(
+                F.transform(F.sequence(first_j, last_j), lambda j: F.struct(i.alias("i"), j.alias("j"))),
+                lambda c: (c["i"] < ci) | (c["j"] < cj),
+            ),
+        )
+    )
+    elsewhere = F.exists(before, lambda c: R.intersects_box(edges, G.cell_box(c["i"], c["j"], size)))
+    alone = (west == east) & (south == north)
+    return rows.where(F.when(alone, F.lit(True)).otherwise(~elsewhere)).select(*key, *keep)
 
 
 def files_for_boxes(
@@ -369,18 +452,25 @@ def files_for_boxes(
     return out.withColumn("refused", F.col("files") > budget) if budget is not None else out
 
 
+def candidate_files(points: DataFrame, index: DataFrame, file_key: str, size: float) -> DataFrame:
+    """Every point beside each file whose box holds it."""
+    at = R.envelope(F.col("x"), F.col("y"), F.col("x"), F.col("y"))
+    pairs = box_join(points.withColumn("at", at), index.select(file_key, "bbox"), size, "at", "bbox")
+    return pairs.drop("at", "bbox")
+
+
+def match_in_files(files: DataFrame, zones: DataFrame, file_key: str, size: float) -> DataFrame:
+    """Points beside their candidate files against the zones of those files only."""
+    filed = G.with_box_cells(_told_apart(with_box(zones)), size)
+    on = [file_key, *CELL]
+    return _box_test(dealt_join(G.with_point_cell(files, size), filed, on), on, boundary=True).drop(*CELL)
+
+
 def two_step_lookup(
     points: DataFrame, index: DataFrame, zones: DataFrame, file_key: str, size: float
 ) -> DataFrame:
     """Points to candidate files by the index, then to zones within those files only."""
-    at = R.envelope(F.col("x"), F.col("y"), F.col("x"), F.col("y"))
-    files = box_join(
-        points.withColumn("at", at), index.select(file_key, "bbox"), size, "at", "bbox"
-    ).drop("at", "bbox")
-    filed = G.with_box_cells(_told_apart(with_box(zones)), size)
-    keyed = G.with_point_cell(files, size)
-    on = [file_key, *CELL]
-    return _box_test(dealt_join(keyed, filed, on), on, boundary=True).drop(*CELL)
+    return match_in_files(candidate_files(points, index, file_key, size), zones, file_key, size)
 
 
 def spread_points(ids: DataFrame, extents: DataFrame, group: str, id_col: str) -> DataFrame:

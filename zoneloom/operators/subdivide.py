@@ -6,6 +6,7 @@ round cuts them a few levels and redistributes the parts, so one polygon spreads
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -196,3 +197,23 @@ def grid_subdivide(zones: DataFrame, keys: list[str], size: float, geometry="rin
     cells = G.with_zone_cells(zones, size)
     box = G.cell_box(F.col("ci"), F.col("cj"), size)
     return clip_rows(_spread(cells, *keys, "ci", "cj"), box, geometry)
+
+
+class CutPieces:
+    """One geometry to its pieces, for use in SQL text."""
+
+    def eval(self, rings, cap: int):
+        if rings is None:
+            return
+        whole = [np.array([(p["x"], p["y"]) for p in ring], float).reshape(-1, 2) for ring in rings]
+        parts = [p for part in clip.to_parts(whole) for p, _ in clip.split_down(part, cap, 0, MAX_DEPTH)]
+        for k, piece in enumerate(parts):
+            yield k, clip.part_size(piece), [[(float(x), float(y)) for x, y in ring] for ring in piece]
+
+
+def register_functions(spark, name: str = "subdivide_pieces") -> None:
+    """Make ``name(rings, cap)`` a table function of SQL: ``FROM zones z, LATERAL subdivide_pieces(z.rings, 100) p``
+    gives ``piece_id, nverts, rings``, as ``subdivide`` does for zones that one task cuts to the end."""
+    ship_kernels()
+    returns = f"piece_id int, nverts int, rings {R.RINGS_TYPE}"
+    spark.udtf.register(name, F.udtf(CutPieces, returnType=returns))

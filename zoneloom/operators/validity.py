@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zoneloom.functions import rings as R
+from zoneloom.functions.arrow_rings import map_parts, read_rings
+from zoneloom.operators import clip, noding
+from zoneloom.session import settle, ship_kernels
 
 
 def _before(ring: Column, i: Column) -> Column:
@@ -35,76 +39,35 @@ def structural_defect(rings: Column) -> Column:
     )
 
 
-def _cross(ax, ay, bx, by, px, py) -> Column:
-    return (bx - ax) * (py - ay) - (px - ax) * (by - ay)
+def _flag_kernel(geometry: str):
+    def kernel(batches):
+        for batch in batches:
+            defect = batch.column("defect").to_pylist()
+            for i, rings in enumerate(read_rings(batch.column(geometry))):
+                if defect[i] == "none" and noding.has_crossing(noding.edges_of(rings)):
+                    defect[i] = "self crossing"
+            at = batch.schema.get_field_index("defect")
+            yield batch.set_column(at, "defect", pa.array(defect, pa.string()))
 
+    return kernel
 
-def self_crossings(zones: DataFrame, keys: list[str], geometry: str = "rings") -> DataFrame:
-    """Keys of the zones with two edges that properly cross.
-
-    Edges become rows in a grid over the zone's own box, as fine as its edge count asks for, so
-    each grid square holds a few edges whatever the size of the polygon.
-    """
-    rows = (
-        zones.select(
-            *keys, R.bbox(F.col(geometry)).alias("bbox"), R.edges(F.col(geometry)).alias("es")
-        )
-        .where("bbox IS NOT NULL")
-        .select(
-            *keys, "bbox.*", F.ceil(F.sqrt(F.size("es"))).cast("bigint").alias("side"),
-            F.posexplode("es").alias("n", "e"),
-        )
-        .select(*keys, "xmin", "ymin", "xmax", "ymax", "side", "n", "e.*")
-    )
-
-    def square(v, lo, hi):
-        width = F.nullif(F.col(hi) - F.col(lo), F.lit(0.0))
-        at = F.floor((v - F.col(lo)) / width * F.col("side"))
-        return F.coalesce(F.least(at, F.col("side") - 1), F.lit(0)).cast("bigint")
 
-    def span(k1, k2, lo, hi):
-        return F.explode(
-            F.sequence(square(F.least(k1, k2), lo, hi), square(F.greatest(k1, k2), lo, hi))
-        )
-
-    rows = rows.withColumn("gi", span("x1", "x2", "xmin", "xmax"))
-    rows = rows.withColumn("gj", span("y1", "y2", "ymin", "ymax"))
-    ends = ["x1", "y1", "x2", "y2"]
-    one = rows.select(*keys, "gi", "gj", F.col("n").alias("n1"), *ends)
-    two = rows.select(
-        *keys, "gi", "gj", F.col("n").alias("n2"), *[F.col(c).alias(f"o{c}") for c in ends]
-    )
-    s = [F.col(c) for c in ends]
-    t = [F.col(f"o{c}") for c in ends]
-
-    def apart(a, c):
-        d1 = _cross(*a, c[0], c[1])
-        d2 = _cross(*a, c[2], c[3])
-        return ((d1 > 0) & (d2 < 0)) | ((d1 < 0) & (d2 > 0))
+def with_defect(zones: DataFrame, keys: list[str], geometry: str = "rings") -> DataFrame:
+    """Add ``defect``: a structural one, 'self crossing', or 'none'.
 
-    return (
-        one.join(two, [*keys, "gi", "gj"])
-        .where((F.col("n1") < F.col("n2")) & apart(s, t) & apart(t, s))
-        .groupBy(*keys)
-        .agg(F.count("*").alias("hits"))
-        .select(*keys)
-    )
+    Edges that cross are looked for within the task that holds the row, where its edges are dealt to cells
+    that halve until they hold few; nothing is shuffled.
+    """
+    ship_kernels()
+    marked = zones.withColumn("defect", structural_defect(F.col(geometry)))
+    return marked.mapInArrow(_flag_kernel(geometry), marked.schema)
 
 
-def with_defect(zones: DataFrame, keys: list[str], geometry: str = "rings") -> DataFrame:
-    """Add ``defect``: a structural one, 'self crossing', or 'none'."""
-    crossing = self_crossings(zones, keys, geometry).withColumn("crossing", F.lit(True))
-    return (
-        zones.withColumn("defect", structural_defect(F.col(geometry)))
-        .join(crossing, keys, "left")
-        .withColumn(
-            "defect",
-            F.when((F.col("defect") == "none") & F.col("crossing"), "self crossing").otherwise(
-                F.col("defect")
-            ),
-        )
-        .drop("crossing")
-    )
+def self_crossings(zones: DataFrame, keys: list[str], geometry: str = "rings") -> DataFrame:
+    """Keys of the zones with two edges that properly cross, whatever other defects they have."""
+    ship_kernels()
+    rows = zones.where(F.col(geometry).isNotNull()).select(*keys, geometry, F.lit("none").alias("defect"))
+    return rows.mapInArrow(_flag_kernel(geometry), rows.schema).where("defect <> 'none'").select(*keys)
 
 
 def _folded(ring: Column) -> Column:
@@ -125,34 +88,77 @@ def _folded(ring: Column) -> Column:
     return F.aggregate(ring, F.filter(ring, lambda p: F.lit(False)), step)
 
 
+def _no_repeats(r: Column) -> Column:
+    return F.filter(r, lambda p, i: (i == 0) | (p != _before(r, i)))
+
+
+def _no_spikes(r: Column) -> Column:
+    return F.filter(r, lambda p, i: ~_is_spike(r, p, i))
+
+
+def _quick_repair(rings: Column) -> Column:
+    """Close rings, take off repeated points and single spikes, drop what has no area."""
+    out = F.transform(rings, R.close_ring)
+    for pass_over in (_no_repeats, _no_spikes, _no_repeats):
+        out = F.transform(out, pass_over)
+    # a ring that still has spikes may lose its area with them: it is judged when they are off
+    spiked = lambda r: F.size(F.filter(r, lambda p, i: _is_spike(r, p, i))) > 0
+    return F.filter(out, lambda r: (F.size(r) >= 4) & (spiked(r) | (R.ring_area(r) != 0)))
+
+
 def repair_rings(rings: Column) -> Column:
-    """Close rings, drop repeated points, spikes and rings without an area.
+    """Close rings, drop repeated points, spikes and rings without an area, as a Column.
 
-    One quick pass takes single spikes off; a ring where others hid behind them is folded up.
+    One quick pass takes single spikes off; a ring where others hid behind them is folded up point by
+    point. ``repair_zones`` does the same in a kernel whose time is linear however deep spikes nest.
     """
-    no_repeats = lambda r: F.filter(r, lambda p, i: (i == 0) | (p != _before(r, i)))
-
-    def no_spikes(r):
-        return F.filter(r, lambda p, i: ~_is_spike(r, p, i))
 
     def no_more(r):
         spiked = F.size(F.filter(r, lambda p, i: _is_spike(r, p, i))) > 0
         return F.when(spiked, _folded(r)).otherwise(r)
 
     out = F.transform(rings, R.close_ring)
-    for pass_over in (no_repeats, no_spikes, no_repeats, no_more):
+    for pass_over in (_no_repeats, _no_spikes, _no_repeats, no_more):
         out = F.transform(out, pass_over)
     return R.polygonal(out)
 
 
+def _repair_kernel(geometry: str):
+    def kernel(batches):
+        def work(i, rings, batch):
+            defect, repaired = batch.column("defect")[i].as_py(), batch.column("repaired")[i].as_py()
+            if rings is not None:
+                if any(noding.is_spiked(r) for r in rings):
+                    rings = [r for r in map(noding.fold, rings) if len(r) > 3 and clip.signed_area(r) != 0]
+                    repaired = True
+                defect = "none" if rings else "empty"
+                if rings and noding.has_crossing(noding.edges_of(rings)):
+                    whole = noding.repaired(rings)
+                    if whole is None:
+                        defect = "self crossing"
+                    else:
+                        rings, repaired, defect = whole, True, "none" if whole else "empty"
+            yield rings, {"defect": (pa.string(), defect), "repaired": (pa.bool_(), repaired)}
+
+        return map_parts(batches, geometry, work)
+
+    return kernel
+
+
 def repair_zones(
-    zones: DataFrame, keys: list[str], geometry: str = "rings"
+    zones: DataFrame, keys: list[str], geometry: str = "rings", keep: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """``(good, quarantine)``; ``repaired`` tells which rows changed, ``defect`` why one failed."""
-    fixed = zones.withColumn("_was", F.col(geometry)).withColumn(
-        geometry, repair_rings(F.col(geometry))
-    )
+    """``(good, quarantine)``; ``repaired`` tells which rows changed, ``defect`` why one failed.
+
+    Rings that cross themselves or one another become the polygons of their even-odd set. ``keep`` computes
+    the repair once and stores it, for callers that use both sides.
+    """
+    ship_kernels()
+    fixed = zones.withColumn("_was", F.col(geometry)).withColumn(geometry, _quick_repair(F.col(geometry)))
     changed = ~F.coalesce(F.col("_was") == F.col(geometry), F.lit(True))
-    checked = with_defect(fixed.withColumn("repaired", changed).drop("_was"), keys, geometry)
+    marked = fixed.withColumns({"repaired": changed, "defect": F.lit("null")}).drop("_was")
+    checked = marked.mapInArrow(_repair_kernel(geometry), marked.schema)
+    if keep:
+        checked = settle(checked)
     good = F.col("defect") == "none"
     return checked.where(good).drop("defect"), checked.where(~good)

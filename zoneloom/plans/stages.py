@@ -18,7 +18,7 @@ ZONE = [*UNIT, "zone_id"]
 def build_silver(bronze: DataFrame, root: str, mapping: dict = ZONE_MAPPING) -> DataFrame:
     """Bronze rows normalized, repaired and written by unit; returns what went to quarantine."""
     zones = normalize(bronze, mapping, geometry="rings").drop("srid")
-    good, quarantine = repair_zones(zones, ZONE)
+    good, quarantine = repair_zones(zones, ZONE, keep=True)
     sizes = bronze.groupBy(*UNIT).agg(F.count("*").alias("n"))
     L.replace_units(R.with_measures(good.drop("repaired")), root, order=["zone_id"], sizes=sizes)
     return quarantine

@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-import json
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from zoneloom.functions import grid as G
 from zoneloom.functions import rings as R
-from zoneloom.operators.joins import with_edges
+from zoneloom.operators.joins import LISTED_KEYS, candidate_files, match_in_files, with_edges
 from zoneloom.operators.reports import extent
-from zoneloom.session import settle, ship_kernels
+from zoneloom.session import settle
+from zoneloom.sources.folders import partition_files
 
 # fixed values: compression level of a published set, and rows per row group of the layouts
 PUBLISH_LEVEL = 15
@@ -120,6 +118,32 @@ def replace_units(
     )
 
 
+def replace_cells(
+    filed: DataFrame,
+    path: str,
+    group_rows: int = CELL_GROUP,
+    rows_per_file: int = ROWS_PER_FILE,
+    sizes: DataFrame | None = None,
+) -> None:
+    """Rewrite only the cells that ``filed`` (rows with ``cell, hilbert``) holds."""
+    if sizes is None:
+        sizes = settle(filed.groupBy("cell").agg(F.count("*").alias("n")))
+    _write_grouped(
+        filed, path, ["cell"], ["hilbert"], group_rows, rows_per_file, "overwrite", sizes,
+        partitionOverwriteMode="dynamic",
+    )
+    require_few_files(filed.sparkSession, path, sizes, rows_per_file)
+
+
+def require_few_files(spark: SparkSession, path: str, sizes: DataFrame, rows_per_file: int) -> None:
+    """Raise when a cell of ``sizes`` (``cell, n``) has more files than its rows ask for."""
+    files = partition_files(spark, path, ["cell"]).groupBy("cell").agg(F.count("*").alias("files"))
+    most = F.greatest(F.lit(1), F.ceil(F.col("n") / rows_per_file))
+    bad = files.join(sizes, "cell").where(F.col("files") > most).orderBy("cell").limit(5).collect()
+    if bad:
+        raise ValueError(f"cells with more files than their rows ask for: {[(r.cell, r.files, r.n) for r in bad]}")
+
+
 def scan(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
     """A layer with its folder columns; ``glob`` narrows to matching folders."""
     reader = spark.read.option("basePath", root)
@@ -131,6 +155,46 @@ def scan_files(spark: SparkSession, root: str, paths: list[str]) -> DataFrame:
     return spark.read.option("basePath", root).parquet(*paths)
 
 
+def scan_chosen(spark: SparkSession, root: str, chosen: DataFrame, keys: list[str]) -> DataFrame:
+    """The partitions of a layer that ``chosen`` names, repeats allowed; the list never leaves the executors.
+
+    The names are joined on the partition columns, so that Spark prunes the scan's folders when it runs.
+    """
+    named = settle(chosen.groupBy(*keys).agg(F.count("*").alias("_n")))
+    side = named.where("_n > 0").select(*keys)  # always true; a filter on this side is what prunes at run time
+    if named.count() <= LISTED_KEYS:
+        side = F.broadcast(side)
+    return scan(spark, root).join(side, keys, "left_semi")
+
+
+def two_step_scan(
+    points: DataFrame, index: DataFrame, root: str, file_key: str, size: float, columns: list[str]
+) -> DataFrame:
+    """Points to candidate files by the index, then only those files of the layer at ``root`` are read."""
+    files = settle(candidate_files(points, index, file_key, size))
+    zones = scan_chosen(points.sparkSession, root, files.select(file_key), [file_key])
+    return match_in_files(files, zones.select(file_key, *columns), file_key, size)
+
+
+def scan_numbered(spark: SparkSession, root: str, keys=("state", "county")) -> DataFrame:
+    """A layer with ``file_row_number``: the 0-based row of each unit, over all of its files by name.
+
+    The offsets of files behind the first of their unit are prefix sums over row counts, which the
+    footers give; a unit in one file has none, so what is joined is small.
+    """
+    keys = list(keys)
+    rows = scan(spark, root).select(
+        "*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_at")
+    )
+    counts = rows.groupBy(*keys, "_path").agg(F.count("*").alias("_n"))
+    before = W.partitionBy(*keys).orderBy("_path").rowsBetween(W.unboundedPreceding, -1)
+    starts = settle(counts.select("_path", F.sum("_n").over(before).alias("_start")).where("_start > 0"))
+    if starts.count() <= LISTED_KEYS:
+        starts = F.broadcast(starts)
+    at = F.col("_at") + F.coalesce("_start", F.lit(0).cast("bigint"))
+    return rows.join(starts, "_path", "left").withColumn("file_row_number", at).drop("_path", "_at", "_start")
+
+
 def plain_path(path) -> Column:
     """The path that file metadata holds in URI form, as readers take it."""
     return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
@@ -187,12 +251,13 @@ def write_cells(
     filed = file_cells(pieces, size, curve_box, bits)
     # boxes alone give a close upper bound, and only their column is read for it
     boxed = G.with_box_cells(pieces.select("bbox"), size)
-    sizes = boxed.groupBy(G.cell_id(F.col("ci"), F.col("cj")).alias("cell")).agg(
-        F.count("*").alias("n")
+    sizes = settle(
+        boxed.groupBy(G.cell_id(F.col("ci"), F.col("cj")).alias("cell")).agg(F.count("*").alias("n"))
     )
     _write_grouped(
         filed, path, ["cell"], ["hilbert"], group_rows, rows_per_file, "overwrite", sizes
     )
+    require_few_files(pieces.sparkSession, path, sizes, rows_per_file)
 
 
 def write_global_order(
@@ -203,6 +268,7 @@ def write_global_order(
     files: int | None = None,
     group_rows: int = GLOBAL_GROUP,
     level: int = PUBLISH_LEVEL,
+    **options: str,
 ) -> None:
     """The whole set in one curve order, file after file."""
     x, y = G.box_centre(F.col("bbox"))
@@ -212,7 +278,7 @@ def write_global_order(
     parts = (files, *order) if files else tuple(order)
     write_parquet(
         keyed.repartitionByRange(*parts).sortWithinPartitions("hilbert"), path,
-        group_rows=group_rows, level=level,
+        group_rows=group_rows, level=level, **options,
     )
 
 
@@ -277,49 +343,8 @@ def write_cell_index(index: DataFrame, path: str, size: float, srid: int = R.SRI
             "cell_size": F.lit(float(size)),
             "srid": F.lit(srid),
             "note": F.lit(
-                "a piece is filed under every cell it overlaps; "
-                "take it once per (state, county, zone_id, piece_id)"
+                "rows repeat across cells: one that reaches into several cells is in the file of each, "
+                "so count or draw it by its state, county, zone_id and piece_id"
             ),
         }
     ).write.mode("overwrite").json(path)
-
-
-_FOOTER_SCHEMA = (
-    "path string, row_group int, rows bigint, compression string, "
-    "format_version string, metadata string"
-)
-
-
-def _read_footers(batches):
-    from urllib.parse import quote
-
-    import pyarrow.fs as pafs
-    import pyarrow.parquet as pq
-
-    for batch in batches:
-        for path in batch.column("path").to_pylist():
-            # a Hadoop path is not percent-encoded, a URI is
-            fs, inner = pafs.FileSystem.from_uri(quote(path, safe=":/"))
-            with fs.open_input_file(inner) as source:
-                meta = pq.ParquetFile(source).metadata
-            keys = sorted(k.decode() for k in (meta.metadata or {}))
-            n = meta.num_row_groups
-            groups = [meta.row_group(i) for i in range(n)]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "path": [path] * n,
-                    "row_group": pa.array(range(n), pa.int32()),
-                    "rows": pa.array([g.num_rows for g in groups], pa.int64()),
-                    "compression": [g.column(0).compression for g in groups],
-                    "format_version": [str(meta.format_version)] * n,
-                    "metadata": [json.dumps(keys)] * n,
-                }
-            )
-
-
-def footer_audit(spark: SparkSession, root: str) -> DataFrame:
-    """Row groups of every file, read from the footers by as many tasks as there are partitions."""
-    ship_kernels()
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    paths = file_listing(spark, root).select("path").repartition(n, "path")
-    return paths.mapInArrow(_read_footers, _FOOTER_SCHEMA)
