@@ -37,6 +37,11 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(TEXT_ROWS))
 
 
+def whole_row(docs: DataFrame):
+    """All columns as one struct, so that a row travels beside helper columns whatever its own are called."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns])
+
+
 def n_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
@@ -222,5 +227,8 @@ def near_log(n: float, least: int, most: int) -> int:
 def blobs(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
     """A binary array whose row i has the bytes of values[cuts[i]:cuts[i + 1]]."""
     values = np.ascontiguousarray(values)
-    offsets = (np.asarray(cuts, np.int64) * values.dtype.itemsize).astype(np.int32)
+    wide = np.asarray(cuts, np.int64) * values.dtype.itemsize
+    if len(wide) and wide[-1] > np.iinfo(np.int32).max:
+        raise OverflowError(f"{wide[-1]} bytes in one group: raise spark.sql.shuffle.partitions")
+    offsets = wide.astype(np.int32)
     return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(values.view(np.uint8))])

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zoneloom.llm.common import mix, n_partitions, small_batches
+from zoneloom.llm.common import mix, n_partitions, small_batches, whole_row
 from zoneloom.session import settle
 
 
@@ -194,7 +194,8 @@ def keep_one(docs: DataFrame, incoming=None) -> DataFrame:
     """The documents without exact copies, columns as they came; of a document written twice, one row."""
     stay = (_judged(docs, incoming).filter("kept").groupBy(F.col("doc_id").alias("_id"), F.col("raw").alias("_raw"))
             .agg(F.count(F.lit(1)).alias("_n")))
-    plain = docs.withColumn("_at", F.col("doc_id").cast("long")).withColumn("_of", _raw())
+    # a row travels as one struct: its own columns may have any name
+    plain = docs.select(F.col("doc_id").cast("long").alias("_at"), _raw().alias("_of"), whole_row(docs).alias("row"))
     kept = plain.join(stay, F.col("_at").eqNullSafe(F.col("_id")) & (F.col("_of") == F.col("_raw")))
-    once = kept.filter("_n = 1").select(docs.columns)
-    return once.unionByName(kept.filter("_n > 1").dropDuplicates(["_id", "_raw"]).select(docs.columns))
+    once = kept.filter("_n = 1").select("row.*")
+    return once.unionByName(kept.filter("_n > 1").dropDuplicates(["_id", "_raw"]).select("row.*"))

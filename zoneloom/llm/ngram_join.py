@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zoneloom.llm.common import components, mix, n_partitions, near_log, slices, small_batches, text_bytes, word_shingles
+from zoneloom.llm.common import components, mix, n_partitions, near_log, slices, small_batches, text_bytes, whole_row, word_shingles
 from zoneloom.llm.screen import kept_bits, shared_grams
 from zoneloom.session import settle
 
@@ -443,7 +443,7 @@ def keep_nearest(docs: DataFrame) -> DataFrame:
     first = first.select("root", F.col("first.key").alias("kept"))
     judged = rows.join(first, "root").select(F.col("key").alias("_key"), (F.col("key") == F.col("kept")).alias("_first"), "n")
     judged = settle(judged.filter("not _first or n > 1"))
-    plain = docs.withColumn("_key", row_key())
-    stay = plain.join(judged.select("_key"), "_key", "left_anti").select(docs.columns)
+    plain = docs.select(row_key().alias("_key"), whole_row(docs).alias("row"))  # own columns may have any name
+    stay = plain.join(judged.select("_key"), "_key", "left_anti").select("row.*")
     again = plain.join(judged.filter("_first").select("_key"), "_key", "left_semi")  # the kept row, written several times
-    return stay.unionByName(again.dropDuplicates(["_key"]).select(docs.columns))
+    return stay.unionByName(again.dropDuplicates(["_key"]).select("row.*"))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zoneloom.llm.common import WHITE, slices, small_batches, word_hashes, words
+from zoneloom.llm.common import WHITE, slices, small_batches, whole_row, word_hashes, words
 
 KINDS = 12
 SLOTS = 64  # of hashed metadata values
@@ -218,14 +218,14 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = fit(docs, labels)
     if model is None:
         return docs
-    names = docs.columns
+    kinds = {"text": "string", "source": "string", "lang": "string", "n_chars": "long"}
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            good = _chances(model, b, ["_text", "_source", "_lang", "_n_chars"])[2] >= 0.5
-            yield b.select(names).filter(pa.array(good))
+            good = _chances(model, b, list(kinds))[2] >= 0.5
+            yield pa.RecordBatch.from_struct_array(b.column("row")).filter(pa.array(good))
 
-    has = set(names)
-    kinds = {"text": "string", "source": "string", "lang": "string", "n_chars": "long"}
-    read = docs.select("*", *[(F.col(c) if c in has else F.lit(None)).cast(k).alias(f"_{c}") for c, k in kinds.items()])
+    has = set(docs.columns)
+    # a row travels as one struct: its own columns may have any name
+    read = docs.select(whole_row(docs).alias("row"), *[(F.col(c) if c in has else F.lit(None)).cast(k).alias(c) for c, k in kinds.items()])
     return read.mapInArrow(keep, docs.schema)

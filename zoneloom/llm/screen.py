@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from zoneloom.llm.common import blobs, slices, text_bytes
+from zoneloom.llm.common import blobs, mix, slices, text_bytes
 
 BATCH_BYTES = 8 << 20
 SHARED = np.uint16(0xFFFF)
@@ -60,7 +60,7 @@ def _sender(grams_of: Callable, part_bits: int) -> Callable:
         owner = np.where(length > 1, SHARED, r[first].astype(np.uint16))
         out = [(p, number, GRAM, prints[a:b].tobytes(), owner[a:b].tobytes())
                for p, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if b > a]
-        home = number % parts
+        home = int(mix(np.array([number], np.uint64))[0] % np.uint64(parts))  # batches of all tasks spread over all parts
         out.append((home, number, KEYS, np.concatenate(keys).tobytes(), np.concatenate(notes).tobytes()))
         h, r = h[several], r[several].astype(np.uint16)
         prints, edges = _prints(h, part_bits), _part_edges(h, part_bits)
