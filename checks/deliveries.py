@@ -18,14 +18,15 @@ WGS84 = 'GEOGCS["GCS_WGS_1984"]'
 
 
 def shapefile(rows: list[tuple[dict, list]], encoding: str, fields: dict[str, int]) -> dict[str, bytes]:
-    """``.shp`` and ``.dbf`` bytes; rings are written clockwise first, as the format has it."""
-    records = b""
+    """``.shp``, ``.shx`` and ``.dbf`` bytes; rings are written clockwise first, as the format has it."""
+    records, index = b"", b""
     for n, (_, rings) in enumerate(rows, 1):
         rings = [np.asarray(r, "<f8")[::-1] for r in rings]
         xy = np.vstack(rings)
         starts = np.cumsum([0] + [len(r) for r in rings[:-1]]).astype("<i4")
         body = struct.pack("<i4d2i", 5, *xy.min(0), *xy.max(0), len(rings), len(xy))
         body += starts.tobytes() + xy.tobytes()
+        index += struct.pack(">2i", 50 + len(records) // 2, len(body) // 2)
         records += struct.pack(">2i", n, len(body) // 2) + body
     shp = struct.pack(">7i", 9994, 0, 0, 0, 0, 0, (100 + len(records)) // 2)
     shp += struct.pack("<2i8d", 1000, 5, *([0.0] * 8)) + records
@@ -37,7 +38,7 @@ def shapefile(rows: list[tuple[dict, list]], encoding: str, fields: dict[str, in
         b" " + b"".join(str(row[f]).encode(encoding).ljust(size)[:size] for f, size in fields.items())
         for row, _ in rows
     )
-    return {"shp": shp, "dbf": head + b"\r" + lines + b"\x1a"}
+    return {"shp": shp, "shx": shp[:100] + index, "dbf": head + b"\r" + lines + b"\x1a"}
 
 
 def zip_bytes(rows, encoding: str, crs: str, layer: str, cpg: bool) -> bytes:
@@ -45,7 +46,8 @@ def zip_bytes(rows, encoding: str, crs: str, layer: str, cpg: bool) -> bytes:
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
         z.writestr("other.txt", "nothing")
         for ext, data in shapefile(rows, encoding, {"FLD_AR_ID": 12, "COUNTY": 24}).items():
-            z.writestr(f"folder/{layer}.{ext}", data)
+            if ext != "shx" or cpg:  # some deliveries lack the record index
+                z.writestr(f"folder/{layer}.{ext}", data)
         z.writestr(f"folder/{layer}.prj", crs)
         if cpg:
             z.writestr(f"folder/{layer}.cpg", "UTF-8")
