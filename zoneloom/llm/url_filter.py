@@ -11,11 +11,12 @@ a context and what follows it, packs into one long, so both models are one table
 joined to the one below it. URLs meet their strings' gains in blocks of ``BLOCK_BYTES``, where a string is
 looked up once however often the block has it, so no string is a hot key.
 
-Bounded by a parameter: the URLs that set the level (``checked``).
+The level comes from counts of both kinds by step of evidence, ``STEPS`` to the unit, over all URLs left out.
 
 Defined cases: a null URL or one without ``://`` has an empty host and path, no rule and, with nothing
 to judge, is blocked; without ruled URLs of one kind, URLs get the verdict of the other kind, without
-any, allow; repeated rows are judged alike; an empty table gives no rows.
+any, allow; without left-out URLs of both kinds the level is 0; repeated rows are judged alike; other
+columns are neither read nor returned, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "
 ORDER = 5
 SIZE_BIT = 48  # a packed string keeps its bytes below
 BLOCK_BYTES = 1 << 18
+STEPS = 1024
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -146,20 +148,24 @@ def evidence(urls: DataFrame, gains: DataFrame) -> DataFrame:
     return placed.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(_score, "page_id long, url string, evidence double")
 
 
-def best_level(evidence_of: np.ndarray, good: np.ndarray) -> float:
-    """The level that separates the two kinds with the best mean of both rates."""
-    order = np.argsort(evidence_of)
-    e, g = evidence_of[order], good[order]
-    bad_below = np.append(0, np.cumsum(~g)) / max(1, (~g).sum())
-    good_above = 1 - np.append(0, np.cumsum(g)) / max(1, g.sum())
-    at = int(np.argmax(bad_below + good_above))
+def best_level(steps: np.ndarray, good: np.ndarray, bad: np.ndarray) -> float:
+    """The level that separates the two kinds with the best mean of both rates, given how many of each kind have
+    their evidence in a step; 0 when there is but one kind."""
+    if not good.sum() or not bad.sum():
+        return 0.0
+    order = np.argsort(steps)
+    e, g, b = steps[order], good[order], bad[order]
+    at = int(np.argmax(np.append(0, np.cumsum(b)) / b.sum() - np.append(0, np.cumsum(g)) / g.sum()))
     if at == 0:
-        return float(e[0]) if len(e) else 0.0
-    return float((e[at - 1] + e[at]) / 2) if at < len(e) else float(np.nextafter(e[-1], np.inf))
+        return float(e[0] / STEPS)
+    return float((e[at - 1] + 1 + e[at]) / 2 / STEPS) if at < len(e) else float((e[-1] + 1) / STEPS)
 
 
-def judge(pages: DataFrame, rules: tuple = RULES, checked: int = 20_000) -> DataFrame:
-    """page_id, host, path, rule, verdict, and the evidence of the character models."""
+def judge(pages: DataFrame, rules: tuple = RULES) -> DataFrame:
+    """page_id, host, path, rule, verdict, and the evidence of the character models.
+
+    The level is set by all distinct URLs that the rules decide and the models have not seen.
+    """
     rows = ruled(pages, rules)
     fold = F.crc32("url") % 5 == 0
     counted = F.when(fold | F.col("ruling").isNull(), 0).when(F.col("ruling") == "allow", 1).otherwise(2)
@@ -169,8 +175,10 @@ def judge(pages: DataFrame, rules: tuple = RULES, checked: int = 20_000) -> Data
         gains = chances.select("gram", (F.log("p_good") - F.log("p_bad")).alias("gain"))
         scored = ruled(settle(evidence(rows.select("page_id", "url"), gains)), rules, "evidence")
         known = scored.filter("ruling is not null").filter(fold).select("url", "evidence", (F.col("ruling") == "allow").alias("good"))
-        tried = known.dropDuplicates(["url"]).orderBy(F.xxhash64("url"), "url").limit(checked).toPandas()
-        level = best_level(tried["evidence"].to_numpy(float), tried["good"].to_numpy(bool)) if tried["good"].nunique() == 2 else 0.0
+        step = F.floor(F.col("evidence") * STEPS).cast("long").alias("step")
+        # bounded by the steps that likelihoods can differ by
+        tried = known.dropDuplicates(["url"]).groupBy(step).agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad")).toArrow()
+        level = best_level(*[tried[c].to_numpy() for c in ("step", "good", "bad")])
         other = F.when(F.col("evidence") >= level, "allow").otherwise("block")
     else:
         scored = rows.withColumn("evidence", F.lit(0.0))
