@@ -3,8 +3,10 @@
 Two views of a document: its content (figures of its characters and words, of the whole text) and its
 metadata (source, language, stated length). Each view has a logistic model. Both start from the labelled
 sample; for some rounds each model labels the documents of an unlabelled pool of which it is most
-confident, and hands them to the other. In the end both are calibrated on labelled documents that were
-kept apart, and a third logistic model over the two calibrated scores gives the quality of every document.
+confident, and hands them to the other; only a view that does better than guessing on labelled documents
+kept apart may do so. In the end both are calibrated on these, and a third logistic model over the two
+calibrated scores gives the quality of every document. Where a view alone has the lower loss in folds of the
+documents kept apart, its calibrated score is the quality: a view that knows nothing costs nothing.
 
 Parameters that bound what is fitted: ``labelled`` and ``pool`` documents at most, chosen by a hash of
 the id; only their figures, some dozens a document, come to the driver. Every document is scored.
@@ -30,6 +32,7 @@ from zoneloom.llm.common import WHITE, slices, small_batches, whole_row, word_ha
 KINDS = 12
 SLOTS = 64  # of hashed metadata values
 CONFIDENT = 0.95
+GAIN = 0.02  # share of the loss of guessing that a view has to save to be heard
 
 
 def _kinds() -> np.ndarray:
@@ -111,6 +114,23 @@ class Logistic:
         return 1 / (1 + np.exp(-self.margin(x)))
 
 
+def loss(chance: np.ndarray, y: np.ndarray) -> float:
+    """Mean log loss."""
+    p = np.clip(np.where(y == 1, chance, 1 - chance), 1e-9, 1)
+    return float(-np.log(p).mean())
+
+
+def fold_loss(x: np.ndarray, y: np.ndarray, folds: int = 4) -> float:
+    """Loss of a logistic model over ``x`` on documents it was not fitted on; infinite where a fold lacks a kind."""
+    out = np.zeros(len(y))
+    for k in range(folds):
+        test = np.arange(len(y)) % folds == k
+        if len(np.unique(y[~test])) < 2:
+            return float("inf")
+        out[test] = Logistic(x[~test], y[~test].astype(float), 0.1).chance(x[test])
+    return loss(out, y)
+
+
 class CoTrained:
     """Both views, their calibration and their combination."""
 
@@ -127,6 +147,9 @@ class CoTrained:
         models = [Logistic(a, b) for a, b in zip(x, t, strict=True)]
         for _ in range(rounds):
             for giver, taker in ((0, 1), (1, 0)):
+                guess = loss(np.full(len(apart), y[apart].mean()), y[apart])
+                if fold_loss(models[giver].margin(views[giver][0][apart])[:, None], y[apart]) > (1 - GAIN) * guess:
+                    continue
                 p = models[giver].chance(views[giver][1])
                 for kind, sure in ((1.0, p), (0.0, 1 - p)):
                     some = np.flatnonzero(free[taker] & (sure >= CONFIDENT))
@@ -140,12 +163,16 @@ class CoTrained:
         self.calibrated = [Logistic(h, y[apart].astype(float), 0.1) for h in held]
         both = np.hstack([c.margin(h)[:, None] for c, h in zip(self.calibrated, held, strict=True)])
         self.joint = Logistic(both, y[apart].astype(float), 0.1)
+        # which calibrated view is the quality by itself; None when both together lose less
+        alone = [fold_loss(h, y[apart]) for h in held]
+        guess = loss(np.full(len(apart), y[apart].mean()), y[apart])
+        self.heard = None if fold_loss(both, y[apart]) < min(alone) - GAIN * guess else int(np.argmin(alone))
 
     def chances(self, views: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of each view, calibrated, and of both."""
         margins = [c.margin(m.margin(v)[:, None]) for m, c, v in zip(self.models, self.calibrated, views, strict=True)]
         sides = [1 / (1 + np.exp(-m)) for m in margins]
-        return *sides, self.joint.chance(np.stack(margins, axis=1))
+        return *sides, self.joint.chance(np.stack(margins, axis=1)) if self.heard is None else sides[self.heard]
 
 
 COLUMNS = ["doc_id", "text", "source", "lang", "n_chars"]
