@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from checks import views as V
@@ -13,6 +14,8 @@ from zoneloom.operators import control as K
 from zoneloom.operators import normalize as N
 from zoneloom.operators import reports as P
 from zoneloom.operators import validity as Q
+from zoneloom.plans.stages import build_silver
+from zoneloom.session import workspace
 from zoneloom.sources import archive as A
 from zoneloom.sources import catalog as C
 
@@ -118,6 +121,19 @@ def stage_counts(spark, sf):
     return P.stage_counts(Q.with_defect(raw, ["zone_id"]), silver, F.col("defect") != "none")
 
 
+@query("p15_observed_counts", with_(
+    "zk", "SELECT count(*) AS rows, count(*) FILTER (WHERE k % 8 IN (1, 2, 3, 4, 5)) AS repaired, "
+    "count(*) FILTER (WHERE k % 8 IN (4, 6, 7)) AS failed, count(*) FILTER (WHERE k % 8 NOT IN (4, 6, 7)) AS written FROM zk"))
+def observed_counts(spark, sf):
+    """Counts taken by the job that repairs, beside the rows of the layer it wrote."""
+    shapes = V.broken(spark, sf).withColumnRenamed("zone_id", "k")
+    rows = V.bronze(spark, sf).drop("rings").join(shapes, "k").drop("k")
+    root, counts = workspace(spark, "silver"), Observation("repair")
+    build_silver(rows, root, counts=counts)
+    seen = [F.lit(counts.get[n]).cast("bigint").alias(n) for n in ("rows", "repaired", "failed")]
+    return spark.read.parquet(root).agg(F.count("*").alias("written")).select(*seen, "written")
+
+
 # ------------------------------------------------------------------ catalog
 @query("s16_catalog_links",
        "SELECT page_id, href, min(pos) - 1 AS first_position, count(*) AS times FROM ("

@@ -4,6 +4,7 @@ import time
 
 import numpy as np
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from zoneloom.functions import rings as R
@@ -128,3 +129,18 @@ def test_crossing_rows_leave_quarantine(spark):
     (r,) = good.select("zone_id", "repaired", F.size("rings").alias("n"), R.area(F.col("rings")).alias("area")).collect()
     assert (r.zone_id, r.repaired, r.n) == (1, True, 2) and r.area == pytest.approx(20 / 3)
     assert {r.zone_id: r.defect for r in bad.collect()} == {3: "null", 4: "empty"}
+
+
+def test_repair_counts_come_from_the_job_that_stores_it(spark):
+    bow = [(0.0, 0.0), (4.0, 4.0), (4.0, 0.0), (0.0, 2.0), (0.0, 0.0)]
+    box = [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0), (0.0, 0.0)]
+    zones = spark.createDataFrame([(1, [bow]), (2, [box]), (3, None), (4, [box[:2]])], f"zone_id int, rings {R.RINGS_TYPE}")
+    counts = Observation("repair")
+    good, bad = Q.repair_zones(zones, ["zone_id"], keep=True, counts=counts)
+    assert counts.get == {"rows": 4, "repaired": 2, "failed": 2}
+    assert (good.count(), bad.count()) == (2, 2)
+    none = Observation("none")
+    Q.repair_zones(zones.limit(0), ["zone_id"], keep=True, counts=none)
+    assert none.get == {"rows": 0, "repaired": 0, "failed": 0}
+    with pytest.raises(ValueError, match="keep"):
+        Q.repair_zones(zones, ["zone_id"], counts=Observation("late"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from zoneloom.functions import rings as R
@@ -146,19 +146,27 @@ def _repair_kernel(geometry: str):
 
 
 def repair_zones(
-    zones: DataFrame, keys: list[str], geometry: str = "rings", keep: bool = False
+    zones: DataFrame, keys: list[str], geometry: str = "rings", keep: bool = False,
+    counts: Observation | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """``(good, quarantine)``; ``repaired`` tells which rows changed, ``defect`` why one failed.
 
     Rings that cross themselves or one another become the polygons of their even-odd set. ``keep`` computes
-    the repair once and stores it, for callers that use both sides.
+    the repair once and stores it, for callers that use both sides. ``counts`` takes ``rows, repaired, failed``
+    from the job that stores it, without another pass, so it needs ``keep``.
     """
+    if counts is not None and not keep:
+        raise ValueError("counts are taken while the repair is stored: set keep")
     ship_kernels()
     fixed = zones.withColumn("_was", F.col(geometry)).withColumn(geometry, _quick_repair(F.col(geometry)))
     changed = ~F.coalesce(F.col("_was") == F.col(geometry), F.lit(True))
     marked = fixed.withColumns({"repaired": changed, "defect": F.lit("null")}).drop("_was")
     checked = marked.mapInArrow(_repair_kernel(geometry), marked.schema)
+    good = F.col("defect") == "none"
+    if counts is not None:
+        checked = checked.observe(
+            counts, F.count("*").alias("rows"), F.count_if("repaired").alias("repaired"), F.count_if(~good).alias("failed")
+        )
     if keep:
         checked = settle(checked)
-    good = F.col("defect") == "none"
     return checked.where(good).drop("defect"), checked.where(~good)

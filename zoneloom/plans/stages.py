@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from zoneloom.functions import rings as R
@@ -15,10 +15,15 @@ UNIT = ["state", "county"]
 ZONE = [*UNIT, "zone_id"]
 
 
-def build_silver(bronze: DataFrame, root: str, mapping: dict = ZONE_MAPPING) -> DataFrame:
-    """Bronze rows normalized, repaired and written by unit; returns what went to quarantine."""
+def build_silver(
+    bronze: DataFrame, root: str, mapping: dict = ZONE_MAPPING, counts: Observation | None = None
+) -> DataFrame:
+    """Bronze rows normalized, repaired and written by unit; returns what went to quarantine.
+
+    ``counts`` takes ``rows, repaired, failed`` while the repair runs.
+    """
     zones = normalize(bronze, mapping, geometry="rings").drop("srid")
-    good, quarantine = repair_zones(zones, ZONE, keep=True)
+    good, quarantine = repair_zones(zones, ZONE, keep=True, counts=counts)
     sizes = bronze.groupBy(*UNIT).agg(F.count("*").alias("n"))
     L.replace_units(R.with_measures(good.drop("repaired")), root, order=["zone_id"], sizes=sizes)
     return quarantine
