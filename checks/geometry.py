@@ -169,16 +169,20 @@ def types(spark, sf):
 
 
 @query("g12_wkb_round_trip", with_(
-    "za", "SELECT k AS zone_id, area - 64 + 1024 AS area, 9 + 5 + 5 AS nverts, "
+    "za", "SELECT k AS zone_id, area - 64 + 1024 AS area, 5 + 4 * 2 + 4 AS header, 9 + 5 + 5 AS nverts, "
     "1 + 4 + 4 + (1 + 4 + 4 + 4 + 9 * 16 + 4 + 5 * 16) + (1 + 4 + 4 + 4 + 5 * 16) AS bytes FROM za"))
 def wkb_round_trip(spark, sf):
     from zoneloom.session import ship_kernels
 
     ship_kernels()
     packed = V.zones_multi(spark, sf).select("zone_id", W.to_wkb(ring_column()).alias("wkb"))
-    back = packed.select("zone_id", F.length("wkb").alias("bytes"), W.from_wkb("wkb").alias("rings"))
+    # order, type and number of rings of the first polygon, behind the 9 bytes of the collection, and a length for each ring
+    count = F.conv(F.hex(F.reverse(F.substring("wkb", 15, 4))), 16, 10).cast("int")
+    back = packed.select(
+        "zone_id", F.length("wkb").alias("bytes"), (5 + 4 * count + 4).alias("header"), W.from_wkb("wkb").alias("rings")
+    )
     return back.select(
-        "zone_id", R.area(ring_column()).alias("area"),
+        "zone_id", R.area(ring_column()).alias("area"), "header",
         R.vertex_count(ring_column()).alias("nverts"), "bytes",
     )
 
