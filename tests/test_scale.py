@@ -1,9 +1,13 @@
 """Queries over tables of small rows that become large geometry."""
 
+import numpy as np
 import pytest
 
 from checks import geometry as C
+from checks import places as P
 from checks import views as V
+from zoneloom.operators import clip
+from zoneloom.operators import clip_many as many
 
 
 @pytest.fixture(scope="module")
@@ -26,3 +30,44 @@ def test_geometry_is_made_by_many_tasks(spark, folder, view):
     rows = getattr(V, view)(spark, folder)
     assert rows.rdd.getNumPartitions() == 4
     assert rows.count() == 40
+
+
+def ring(n, seed):
+    rng = np.random.default_rng(seed)
+    turn = np.sort(rng.uniform(0, 6.28, n))
+    away = 100 + 40 * rng.random(n)
+    points = np.column_stack([away * np.cos(turn), away * np.sin(turn)])
+    points = np.round(points / 4) * 4 if seed % 2 else points  # repeated points, edges on the lines
+    return np.concatenate([points, points[:1]])
+
+
+@pytest.mark.parametrize("cap,levels", [(100, None), (9, None), (20, 3)])
+def test_rings_cut_together_are_cut_as_one_by_one(cap, levels):
+    rings = [ring(n, seed) for n in (5, 60, 300, 900) for seed in range(6)]
+    rings += [r[::-1] for r in rings[:9]] + [np.zeros((4, 2)), np.array([[0, 0], [1, 1], [0, 0.0]])]
+    want = [
+        (i, d, piece[0])
+        for i, r in enumerate(rings)
+        for part in clip.to_parts([r])
+        for piece, d in clip.split_down(part, cap, 0, 40, levels)
+    ]
+    n = np.array([len(r) for r in rings])
+    p = np.concatenate(rings)
+    places, n = many.tidy(p, n)
+    p, ids, n = p[places], np.flatnonzero(n > 0), n[n > 0]
+    p, n, of, depth = many.split_many(many.oriented(p, n), n, np.zeros(len(n), int), cap, 40, levels)
+    got = np.split(p, np.cumsum(n)[:-1])
+    assert [(i, d) for i, d, _ in want] == list(zip(ids[of], depth, strict=True))
+    assert all((a[:-1] == b).all() for (_, _, a), b in zip(want, got, strict=True))
+
+
+def test_pieces_are_not_broadcast(spark, folder):
+    """Kernel rows look as small to the planner as the rows they were made of."""
+    for made in (C.piece_boxes(spark, folder), C.subdivide_rounds(spark, folder)):
+        assert "BroadcastHashJoin" not in made._jdf.queryExecution().executedPlan().toString()
+
+
+def test_points_are_matched_by_many_tasks_without_grouping(spark, folder):
+    spark.range(50).selectExpr("id AS o_orderkey").coalesce(1).write.parquet(f"{folder}/orders.parquet")
+    plan = P.point_in_polygon(spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "Aggregate" not in plan
