@@ -2,12 +2,14 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from checks import geometry as C
 from checks import places as P
 from checks import views as V
 from zoneloom.operators import clip
 from zoneloom.operators import clip_many as many
+from zoneloom.sources import layout as L
 
 
 @pytest.fixture(scope="module")
@@ -71,3 +73,12 @@ def test_points_are_matched_by_many_tasks_without_grouping(spark, folder):
     spark.range(50).selectExpr("id AS o_orderkey").coalesce(1).write.parquet(f"{folder}/orders.parquet")
     plan = P.point_in_polygon(spark, folder)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" not in plan and "Aggregate" not in plan
+
+
+def test_files_of_a_set_length_are_written_by_many_tasks(spark, tmp_path):
+    rows = spark.range(64).selectExpr("id", "struct(id + 0.0D AS xmin, 0.0D AS ymin, id + 1.0D AS xmax, 1.0D AS ymax) AS bbox")
+    L.write_global_order(rows, str(tmp_path / "g"), (0.0, 0.0, 64.0, 1.0), 8, files=1, maxRecordsPerFile="5")
+    stored = spark.read.parquet(str(tmp_path / "g")).select("id", F.col("_metadata.file_name").alias("file"))
+    assert stored.count() == 64
+    assert stored.groupBy("file").count().agg(F.max("count")).first()[0] <= 5
+    assert stored.select(F.substring("file", 1, 10)).distinct().count() > 1
