@@ -9,6 +9,7 @@ from checks import places as P
 from checks import views as V
 from zoneloom.operators import clip
 from zoneloom.operators import clip_many as many
+from zoneloom.sources import folders as D
 from zoneloom.sources import layout as L
 
 
@@ -82,3 +83,18 @@ def test_files_of_a_set_length_are_written_by_many_tasks(spark, tmp_path):
     assert stored.count() == 64
     assert stored.groupBy("file").count().agg(F.max("count")).first()[0] <= 5
     assert stored.select(F.substring("file", 1, 10)).distinct().count() > 1
+
+
+def test_folders_are_listed_by_few_tasks(spark, tmp_path):
+    root, key = str(tmp_path / "units"), "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    spark.range(60).selectExpr("id", "id AS unit").write.partitionBy("unit").parquet(root)
+    before, group = spark.conf.get(key), spark.sparkContext
+    group.setJobGroup("listing", "listing")
+    try:
+        assert L.scan(spark, root).count() == D.partition_files(spark, root, ["unit"]).count() == 60
+        tracker = group.statusTracker()
+        stages = [s for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+        tasks = [i.numTasks for i in map(tracker.getStageInfo, stages) if i]
+    finally:
+        group.setLocalProperty("spark.jobGroup.id", None)
+    assert max(tasks) <= 8 and spark.conf.get(key) == before
