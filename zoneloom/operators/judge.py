@@ -1,0 +1,181 @@
+"""Points, boxes and zones that met in one cell, judged together: numpy kernels of Arrow tasks.
+
+A box is four arrays (xmin, ymin, xmax, ymax). Edges are five: x1, y1, x2, y2 and the number of their zone,
+rising. The sums are those of ``functions/rings.py``, in the same order, so that both tell the same.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from zoneloom.functions.arrow_rings import ring_arrays
+
+BLOCK = 400_000  # pairs judged at once
+ROWS_OUT = 200_000  # of one batch that leaves a kernel
+
+
+def numbers(column) -> np.ndarray:
+    """Doubles of an Arrow column, NaN for NULL."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.to_numpy(zero_copy_only=False).astype(float)
+
+
+def box_arrays(column) -> tuple:
+    """The four sides of a column of boxes."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return tuple(numbers(pc.struct_field(column, side)) for side in ("xmin", "ymin", "xmax", "ymax"))
+
+
+def edge_arrays(column) -> tuple:
+    """All edges of a column of rings."""
+    xy, point_at, ring_at, _ = ring_arrays(column)
+    opens = np.ones(len(xy), bool)
+    opens[point_at[1:][np.diff(point_at) > 0] - 1] = False  # the last point of a ring opens none
+    at = np.flatnonzero(opens)
+    zone = np.repeat(np.arange(len(ring_at) - 1), np.diff(point_at[ring_at]))[at]
+    return xy[at, 0], xy[at, 1], xy[at + 1, 0], xy[at + 1, 1], zone
+
+
+def _blocks(sizes, most):
+    """Runs of items whose sizes add up to about ``most``."""
+    ends = np.cumsum(sizes)
+    begin = 0
+    while begin < len(sizes):
+        done = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, done + most, "right")))
+        yield begin, end
+        begin = end
+
+
+def _spans(low, n):
+    """The numbers low, low + 1 .. of each span, end to end."""
+    first = np.cumsum(n) - n
+    return np.arange(int(n.sum())) + np.repeat(low - first, n)
+
+
+def _side(x1, y1, x2, y2, x, y):
+    return (x2 - x1) * (y - y1) - (x - x1) * (y2 - y1)
+
+
+def crossings(x, y, box, edges):
+    """Runs of zones as ``(first zone, crossings, touch, held)``, each an array of zone by point: edges met by the
+    ray from the point towards +x, whether it lies on one, and whether the zone's box holds it.
+
+    Points come by height, so an edge is paired with those it reaches and no others."""
+    x1, y1, x2, y2, zone = edges
+    low = np.searchsorted(y, np.minimum(y1, y2), "left")
+    n = np.maximum(np.searchsorted(y, np.maximum(y1, y2), "right") - low, 0)
+    left, right = np.minimum(x1, x2), np.maximum(x1, x2)
+    first = np.searchsorted(zone, np.arange(len(box[0]) + 1))
+    points = len(x)
+    step = max(1, BLOCK // max(1, points))
+    for begin in range(0, len(box[0]), step):
+        end = min(begin + step, len(box[0]))
+        west, south, east, north = (side[begin:end, None] for side in box)
+        held = (west <= x) & (east >= x) & (south <= y) & (north >= y)
+        flat = held.ravel()
+        count, touch = np.zeros(len(flat), np.int64), np.zeros(len(flat), bool)
+        e0 = first[begin]
+        for a, b in _blocks(n[e0 : first[end]], BLOCK):
+            k = np.repeat(np.arange(e0 + a, e0 + b), n[e0 + a : e0 + b])
+            p = _spans(low[e0 + a : e0 + b], n[e0 + a : e0 + b])
+            key = (zone[k] - begin) * points + p
+            # an edge west of the point is neither met by its ray nor touched
+            keep = flat[key] & (x[p] <= right[k])
+            k, p, key = k[keep], p[keep], key[keep]
+            px, py, ay, by = x[p], y[p], y1[k], y2[k]
+            side = _side(x1[k], ay, x2[k], by, px, py)
+            on = side == 0
+            met = ((ay > py) != (by > py)) & ((side > 0) == (by > ay)) & ~on
+            count += np.bincount(key[met], minlength=len(flat))
+            touch[key[on & (px >= left[k])]] = True
+        yield begin, count.reshape(held.shape), touch.reshape(held.shape), held
+
+
+def points_in_zones(x, y, box, edges, boundary: bool):
+    """Numbers of the points and zones that meet, pair by pair."""
+    order = np.argsort(y, kind="stable")
+    found = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+    for begin, count, touch, held in crossings(x[order], y[order], box, edges):
+        odd = count % 2 == 1
+        z, p = np.nonzero(held & ((odd | touch) if boundary else (odd & ~touch)))
+        found.append((order[p], z + begin))
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
+def _edges_meet(e, box):
+    """Closed segments against closed boxes, one of each a pair."""
+    x1, y1, x2, y2 = e
+    west, south, east, north = box
+    corners = [_side(x1, y1, x2, y2, a, b) for a in (west, east) for b in (south, north)]
+    low, high = np.minimum(corners[0], corners[1]), np.maximum(corners[0], corners[1])
+    low, high = np.minimum(np.minimum(low, corners[2]), corners[3]), np.maximum(np.maximum(high, corners[2]), corners[3])
+    return (low <= 0) & (high >= 0)
+
+
+def box_meets_zone(zone, box, edges):
+    """Whether the box of each pair meets its zone: an edge meets it, or it lies inside. ``zone`` numbers the zones."""
+    x1, y1, x2, y2, of = edges
+    first = np.searchsorted(of, np.arange(int(of[-1]) + 2 if len(of) else 1))
+    first = np.concatenate([first, np.full(max(0, int(zone.max(initial=-1)) + 2 - len(first)), len(of))])
+    n = first[zone + 1] - first[zone]
+    out = np.zeros(len(zone), bool)
+    for a, b in _blocks(n, BLOCK):
+        pair = np.repeat(np.arange(a, b), n[a:b])
+        k = _spans(first[zone[a:b]], n[a:b])
+        west, south, east, north = (side[pair] for side in box)
+        ax, ay, bx, by = x1[k], y1[k], x2[k], y2[k]
+        near = (np.minimum(ax, bx) <= east) & (np.maximum(ax, bx) >= west) & (np.minimum(ay, by) <= north) & (np.maximum(ay, by) >= south)
+        met = np.zeros(len(k), bool)
+        met[near] = _edges_meet((ax[near], ay[near], bx[near], by[near]), (west[near], south[near], east[near], north[near]))
+        # the lower left corner lies inside; on an edge, that edge meets the box
+        cut = (ay > south) != (by > south)
+        side = _side(ax[cut], ay[cut], bx[cut], by[cut], west[cut], south[cut])
+        cut[cut] = ((side > 0) == (by[cut] > ay[cut])) & (side != 0)
+        inside = np.bincount(pair[cut] - a, minlength=b - a) % 2 == 1
+        out[a:b] = inside
+        out[pair[met]] = True
+    return out
+
+
+def boxes_in_zones(seen, box, edges, cell, size: float):
+    """Numbers of the boxes ``seen`` and of the zones that meet, each pair in the cell of the lower left corner
+    of the overlap of its boxes."""
+    edged = np.zeros(len(box[0]), bool)
+    edged[edges[4]] = True
+    found = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+    step = max(1, BLOCK // max(1, len(seen[0])))
+    for begin in range(0, len(box[0]), step):
+        west, south, east, north = (side[begin : begin + step, None] for side in box)
+        own = (np.floor(np.maximum(west, seen[0]) / size) == cell[0]) & (np.floor(np.maximum(south, seen[1]) / size) == cell[1])
+        z, v = np.nonzero(own & (west <= seen[2]) & (east >= seen[0]) & (south <= seen[3]) & (north >= seen[1]))
+        z += begin
+        zb, vb = tuple(s[z] for s in box), tuple(s[v] for s in seen)
+        # any edge proves a zone that lies whole in the box
+        meets = edged[z] & (zb[0] >= vb[0]) & (zb[2] <= vb[2]) & (zb[1] >= vb[1]) & (zb[3] <= vb[3])
+        rest = np.flatnonzero(~meets)
+        meets[rest] = box_meets_zone(z[rest], tuple(s[rest] for s in vb), edges)
+        found.append((v[meets], z[meets]))
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
+def schema_of(left: pa.Table, right: pa.Table, names: list[str]) -> pa.Schema:
+    """The fields of a join; a column is that of the first table that has it."""
+    return pa.schema([(left if n in left.column_names else right).schema.field(n) for n in names])
+
+
+def paired(left: pa.Table, right: pa.Table, i, j, schema: pa.Schema) -> pa.Table:
+    """Rows ``i`` of one table beside rows ``j`` of the other, in batches; a column is taken from the first that has it."""
+    left, right = left.combine_chunks(), right.combine_chunks()
+    batches = []
+    for begin in range(0, len(i), ROWS_OUT):
+        a, b = pa.array(i[begin : begin + ROWS_OUT]), pa.array(j[begin : begin + ROWS_OUT])
+        columns = [
+            (left.column(n).take(a) if n in left.column_names else right.column(n).take(b)).combine_chunks()
+            for n in schema.names
+        ]
+        columns = [c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in columns]
+        batches.append(pa.RecordBatch.from_arrays(columns, names=schema.names))
+    return pa.Table.from_batches(batches) if batches else schema.empty_table()
