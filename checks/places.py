@@ -12,7 +12,7 @@ from zoneloom.functions import grid as G
 from zoneloom.functions import rings as R
 from zoneloom.operators import joins as J
 from zoneloom.operators import reports as P
-from zoneloom.session import settle, workspace
+from zoneloom.session import workspace
 from zoneloom.sources import layout as L
 
 HITS = with_("hits", "SELECT o_orderkey, k AS zone_id FROM hits")
@@ -62,8 +62,7 @@ def hot_cells(spark, sf):
 
 @query("j1b_edge_band_join", HITS)
 def edge_band_join(spark, sf):
-    # stored, as zones are: the join looks at them more than once
-    zones = settle(R.with_measures(V.zones512(spark, sf).select("zone_id", "rings")))
+    zones = R.with_measures(V.zones512(spark, sf).select("zone_id", "rings"))
     return J.point_in_giant_zone(
         V.points(spark, sf), zones, ["o_orderkey"], ["zone_id"], V.CELL
     )

@@ -89,3 +89,28 @@ def test_a_group_has_so_many_rows_at_most(spark):
     hot, n = J.hot_keys(side, few, J.CELL, 10**6, 30)
     assert [(r.ways_a, r.ways_b) for r in hot.collect()] == [(4, 1)]
     assert J.hot_keys(side, few, J.CELL, 10**6)[1] == 0
+
+
+@pytest.mark.parametrize("size,hot", [(64, None), (16, None), (500, None), (64, 2)])
+def test_giants_as_the_expressions_tell(spark, lattice, monkeypatch, size, hot):
+    """Edges filed by cell, some as their ends only; with few rows a group the parts of a zone are summed."""
+    if hot:
+        monkeypatch.setattr(J, "GIANT_ROWS", hot)
+    rng = np.random.default_rng(6)
+    xy = (rng.integers(-5, 115, (400, 2)) * 4.0).tolist()
+    points = spark.createDataFrame([(i, *p) for i, p in enumerate(xy)], "pid int, x double, y double")
+    cut = lattice.select("zone_id", F.transform("rings", lambda r: F.flatten(F.transform(
+        F.sequence(F.lit(0), F.size(r) - 1),
+        lambda i: F.transform(F.sequence(F.lit(0), F.when(i < F.size(r) - 1, 31).otherwise(0)), lambda j: F.struct(*[
+            (F.get(r, i)[c] + (F.coalesce(F.get(r, i + 1)[c], F.lit(0.0)) - F.get(r, i)[c]) * j / 32).alias(c) for c in "xy"
+        ])))).alias("_")).cast(R.RINGS_TYPE).alias("rings")).where("size(rings) > 0")
+    near = points.crossJoin(J.with_edges(cut)).where(R.box_has_point(F.col("bbox"), F.col("x"), F.col("y")))
+    want = told(near.where(R.intersects_point(F.col("edges"), F.col("x"), F.col("y"))), "pid")
+    assert len(want) > 300
+    assert told(J.point_in_giant_zone(points, cut, ["pid"], ["zone_id"], size), "pid") == want
+
+
+def test_giants_are_not_paired_edge_by_edge(spark, folder):
+    """Rows of pairs by nodes of a tree were a hundred times the hits."""
+    plan = P.edge_band_join(spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "Join" not in plan

@@ -10,12 +10,14 @@ from __future__ import annotations
 
 import math
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, BooleanType, LongType, StructField, StructType
 
 from zoneloom.functions import grid as G
 from zoneloom.functions import rings as R
+from zoneloom.functions.arrow_rings import repeat_rows
 from zoneloom.operators import judge
 from zoneloom.session import settle, ship_kernels, spread
 
@@ -27,6 +29,7 @@ SALTS = 64
 REFINE = 16
 REFINED_COPIES = 4  # of a zone, on average, at most: larger ones fill their cell, and finer cells would copy them
 GROUP_ROWS = 250_000  # of one side of a key that one kernel call holds
+GIANT_ROWS = 10_000  # the same where a row holds many lines of edges
 MOST_LEVELS = 24  # of a zone's tree of edges
 
 
@@ -101,22 +104,25 @@ def _join_dealt(left, right, on, hot, join) -> DataFrame:
     return join(left, right, [*on, "_a", "_b"])
 
 
-def _judged(left: DataFrame, right: DataFrame, on: list[str], kernel, leave=()) -> DataFrame:
+def _judged(left: DataFrame, right: DataFrame, on: list[str], kernel, leave=(), flags=()) -> DataFrame:
     """Rows that meet under ``on``: ``kernel`` gets both sides of a key as Arrow tables and tells the pairs.
 
-    The columns are those of ``left``, then of ``right``, without the geometry, the cell and what ``leave`` names.
+    The columns are those of ``left``, then of ``right``, without the geometry, the cell and what ``leave`` names,
+    then ``flags`` that the kernel tells of each pair.
     """
     ship_kernels()
     drop = {*CELL, "_a", "_b", "bbox", "rings", "edges", *leave}
     keep = [f for f in left.schema if f.name not in drop]
     keep += [f for f in right.schema if f.name not in drop and f.name not in on]
-    schema = StructType(keep)
+    names = [f.name for f in keep]
+    schema = StructType([*keep, *[StructField(flag, BooleanType()) for flag in flags]])
 
     def judge_group(mine, theirs):
-        out = judge.schema_of(mine, theirs, schema.names)
+        out = judge.schema_of(mine, theirs, names, flags)
         if not len(mine) or not len(theirs):
             return out.empty_table()
-        return judge.paired(mine, theirs, *kernel(mine, theirs), out)
+        i, j, *more = kernel(mine, theirs)
+        return judge.paired(mine, theirs, i, j, out, more)
 
     known = lambda df: spread(df.dropna(subset=on), *on).groupBy(*on)
     return known(left).cogroup(known(right)).applyInArrow(judge_group, schema)
@@ -298,36 +304,35 @@ def point_in_giant_zone(
     zone_keys: list[str],
     size: float,
 ) -> DataFrame:
-    """The same match for uncut polygons of any size: edges become rows of a segment tree over the zone's height.
+    """The same match for uncut polygons of any size: edges are filed by cell, in lines of a few.
 
-    Only keys and boxes meet in the cells. An edge is stored at the few nodes that cover its heights, at most
-    two a level however long it is, and a point asks the nodes above its own height: it sees the edges that
-    reach that height and no others. The crossings are summed. No row holds a whole polygon after the scan.
+    A cell gets the lines that reach into it and, of those east of it, the heights of their ends; one that is
+    above, below or west of a cell does not matter to its points. Points meet the lines of their cell, and touches
+    and parities are put together by keys. No row holds a whole polygon after the scan.
     """
-    wide = with_levels(with_box(zones).where("bbox IS NOT NULL"))
-    x, y = F.col("x"), F.col("y")
-    candidates = (
-        dealt_join(
-            G.with_point_cell(points.select(*point_keys, "x", "y"), size),
-            G.with_box_cells(wide.select(*zone_keys, "bbox", "levels"), size),
-            CELL,
-        )
-        .where(R.box_has_point(F.col("bbox"), x, y))
-        .select(*point_keys, *zone_keys, "x", "y", _leaf(y).alias("leaf"), "levels")
-    )
-    # stored: the next join counts its keys first, and would match points and boxes a second time for it
-    candidates = settle(candidates)
-    asked = candidates.select(
-        *point_keys, *zone_keys, "x", "y", F.explode(tree_path(F.col("leaf"), F.col("levels"))).alias("node")
-    )
-    e = F.col("e")
-    on_edge, crosses = R.edge_has_point(e, x, y), R.edge_crosses_ray(e, x, y)
+    ship_kernels()
+    wide = with_box(zones).where("bbox IS NOT NULL").dropna(subset=zone_keys).select(*zone_keys, "bbox", "rings")
+    rows = StructType([*wide.schema, StructField("ci", LongType()), StructField("cj", LongType())])
+
+    def file_lines(batches):
+        for batch in batches:
+            for row, ci, cj, lines in judge.file_edges(batch.column("rings"), judge.box_arrays(batch.column("bbox")), size):
+                new = {"rings": lines, "ci": pa.array(ci), "cj": pa.array(cj)}
+                yield repeat_rows(batch, row, new)
+
+    def kernel(pts, lines):
+        x, y = judge.numbers(pts["x"]), judge.numbers(pts["y"])
+        return judge.touches_and_parities(x, y, judge.box_arrays(lines["bbox"]), judge.edge_arrays(lines["rings"]))
+
+    # stored: keys are counted before rows meet
+    filed = settle(wide.mapInArrow(file_lines, rows))
+    asked = G.with_point_cell(points.select(*point_keys, "x", "y"), size)
+    hot = hot_keys(asked, filed, CELL, HOT_PAIRS, GIANT_ROWS)
+    met = _join_dealt(asked, filed, CELL, hot, lambda a, b, on: _judged(a, b, on, kernel, ["x", "y"], ["touch", "odd"]))
     return (
-        dealt_join(asked, edge_tree(wide, zone_keys), [*zone_keys, "node"])
-        .where(on_edge | crosses)
-        .groupBy(*point_keys, *zone_keys)
-        .agg(F.bool_or(on_edge).alias("touch"), F.count_if(crosses).alias("crossings"))
-        .where("touch OR crossings % 2 = 1")
+        met.groupBy(*point_keys, *zone_keys)
+        .agg(F.bool_or("touch").alias("touch"), F.count_if("odd").alias("odd"))
+        .where("touch OR odd % 2 = 1")
         .select(*point_keys, *zone_keys)
     )
 

@@ -10,10 +10,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from zoneloom.functions.arrow_rings import ring_arrays
+from zoneloom.functions.arrow_rings import ring_arrays, ring_list
 
 BLOCK = 400_000  # pairs judged at once
 ROWS_OUT = 200_000  # of one batch that leaves a kernel
+LINE = 64  # edges filed together
+FILED_POINTS = 4_096  # of a zone in one row of a cell, about
 
 
 def numbers(column) -> np.ndarray:
@@ -161,21 +163,88 @@ def boxes_in_zones(seen, box, edges, cell, size: float):
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
 
-def schema_of(left: pa.Table, right: pa.Table, names: list[str]) -> pa.Schema:
+def schema_of(left: pa.Table, right: pa.Table, names: list[str], flags) -> pa.Schema:
     """The fields of a join; a column is that of the first table that has it."""
-    return pa.schema([(left if n in left.column_names else right).schema.field(n) for n in names])
+    fields = [(left if n in left.column_names else right).schema.field(n) for n in names]
+    return pa.schema([*fields, *[pa.field(flag, pa.bool_()) for flag in flags]])
 
 
-def paired(left: pa.Table, right: pa.Table, i, j, schema: pa.Schema) -> pa.Table:
-    """Rows ``i`` of one table beside rows ``j`` of the other, in batches; a column is taken from the first that has it."""
+def touches_and_parities(x, y, box, edges):
+    """Numbers of points and zones, whether the point lies on an edge and whether its ray meets an odd number of
+    them, where either holds: sums for zones whose edges are spread over several rows."""
+    order = np.argsort(y, kind="stable")
+    found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool), np.empty(0, bool))]
+    for begin, count, touch, held in crossings(x[order], y[order], box, edges):
+        odd = count % 2 == 1
+        z, p = np.nonzero(held & (odd | touch))
+        found.append((order[p], z + begin, touch[z, p], odd[z, p]))
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
+def file_edges(column, box, size: float):
+    """Lines of edges filed under the cells whose points they matter to: ``row, ci, cj, Arrow lists of lines``.
+
+    A line of ``LINE`` edges is filed whole under the cells of its box. To the points of the cells west of it, as
+    far as the zone's box goes, only the heights of its two ends matter, so one upright edge stands for it there.
+    """
+    xy, point_at, ring_at, _ = ring_arrays(column)
+    ring_row = np.repeat(np.arange(len(ring_at) - 1), np.diff(ring_at))
+    edges = np.maximum(np.diff(point_at) - 1, 0)
+    lines = -(-edges // LINE)
+    of = np.repeat(np.arange(len(edges)), lines)
+    nth = _spans(np.zeros(len(lines), np.int64), lines)
+    start = point_at[of] + nth * LINE
+    n = np.minimum(edges[of] - nth * LINE, LINE) + 1
+    row = ring_row[of]
+    if not len(n):
+        return
+    place = _spans(start, n)
+    first = np.cumsum(n) - n
+    low, high = np.minimum.reduceat(xy[place], first), np.maximum.reduceat(xy[place], first)
+    cell = lambda v: np.floor(v / size)
+    with np.errstate(invalid="ignore"):
+        west, east = cell(box[0][row]), np.minimum(cell(high[:, 0]), cell(box[2][row]))
+        south, north = cell(low[:, 1]), cell(high[:, 1])
+        wide, tall = np.maximum(east - west + 1, 0), north - south + 1
+        cells = np.nan_to_num(wide * tall).astype(np.int64)
+    # rows of one zone stay together, so that the lines of a cell are few rows
+    per_row = np.bincount(row, cells * 2 + n, minlength=len(ring_at) - 1)
+    line_at = np.searchsorted(row, np.arange(len(ring_at)))
+    for a, b in _blocks(per_row, BLOCK):
+        at = np.arange(line_at[a], line_at[b])
+        line = np.repeat(at, cells[at])
+        k = _spans(np.zeros(len(at), np.int64), cells[at])
+        ci, cj = (west[line] + k // tall[line]).astype(np.int64), (south[line] + k % tall[line]).astype(np.int64)
+        sort = np.lexsort((line, cj, ci, row[line]))
+        line, ci, cj = line[sort], ci[sort], cj[sort]
+        if not len(line):
+            continue
+        far = low[line, 0] > (ci + 1) * size
+        m = np.where(far, 2, n[line])
+        ends = np.concatenate([[0], np.cumsum(m)])
+        points = xy[_spans(start[line], m)]
+        # the upright edge: at the west end of the line, between the heights of its ends
+        points[ends[:-1][far], 0] = points[ends[:-1][far] + 1, 0] = low[line[far], 0]
+        points[ends[:-1][far] + 1, 1] = xy[start[line[far]] + n[line[far]] - 1, 1]
+        # a row begins with its zone and cell, and again after so many points
+        same = (np.diff(row[line]) == 0) & (np.diff(ci) == 0) & (np.diff(cj) == 0) & (np.diff(ends[:-1] // FILED_POINTS) == 0)
+        heads = np.concatenate([[0], np.flatnonzero(~same) + 1])
+        lists = pa.ListArray.from_arrays(pa.array(np.append(heads, len(line)).astype(np.int32)), ring_list(points, m))
+        yield row[line[heads]], ci[heads], cj[heads], lists
+
+
+def paired(left: pa.Table, right: pa.Table, i, j, schema: pa.Schema, more=()) -> pa.Table:
+    """Rows ``i`` of one table beside rows ``j`` of the other, in batches; a column is taken from the first that has it.
+    ``more`` holds a flag a pair for each of the last fields."""
     left, right = left.combine_chunks(), right.combine_chunks()
     batches = []
     for begin in range(0, len(i), ROWS_OUT):
         a, b = pa.array(i[begin : begin + ROWS_OUT]), pa.array(j[begin : begin + ROWS_OUT])
         columns = [
             (left.column(n).take(a) if n in left.column_names else right.column(n).take(b)).combine_chunks()
-            for n in schema.names
+            for n in schema.names[: len(schema) - len(more)]
         ]
+        columns += [pa.array(flag[begin : begin + ROWS_OUT]) for flag in more]
         columns = [c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in columns]
         batches.append(pa.RecordBatch.from_arrays(columns, names=schema.names))
     return pa.Table.from_batches(batches) if batches else schema.empty_table()
