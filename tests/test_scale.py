@@ -98,3 +98,13 @@ def test_folders_are_listed_by_few_tasks(spark, tmp_path):
     finally:
         group.setLocalProperty("spark.jobGroup.id", None)
     assert max(tasks) <= 8 and spark.conf.get(key) == before
+
+
+@pytest.mark.parametrize("query", [P.file_pruning, P.file_budget, P.generated_points, P.point_in_polygon, P.zones_by_state])
+def test_no_geometry_is_made_by_the_tasks_of_the_scan(spark, folder, query):
+    """A filter on what is made of the keys sank below their spreading: one task made all geometry for it."""
+    for table, key in (("orders", "o_orderkey"), ("customer", "c_custkey")):
+        spark.range(50).selectExpr(f"id AS {key}").coalesce(1).write.mode("ignore").parquet(f"{folder}/{table}.parquet")
+    plan = query(spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter" in line and "p_partkey" in line]
+    assert not [line for line in filters if "7919" in line]
