@@ -6,6 +6,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+CHUNK_POINTS = 250_000  # coordinates that are worked on together
+
 
 def ring_arrays(column) -> tuple:
     """All points as one (n, 2) array, where each ring begins in it, where each row begins in the rings, and which rows
@@ -33,6 +35,18 @@ def read_rings(column) -> list:
     ]
 
 
+def chunks(sizes):
+    """Runs of rows with about ``CHUNK_POINTS`` coordinates each."""
+    begin, points = 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        if points and points + n > CHUNK_POINTS:
+            yield begin, i
+            begin, points = i, 0
+        points += n
+    if begin < len(sizes):
+        yield begin, len(sizes)
+
+
 def ring_list(xy, lengths) -> pa.Array:
     """One list of points per ring, from all points end to end."""
     pts = pa.StructArray.from_arrays(

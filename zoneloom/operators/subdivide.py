@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from zoneloom.functions import rings as R
-from zoneloom.functions.arrow_rings import map_parts, repeat_rows, ring_arrays, ring_list
+from zoneloom.functions.arrow_rings import chunks, map_parts, repeat_rows, ring_arrays, ring_list
 from zoneloom.operators import clip
 from zoneloom.operators import clip_many as many
 from zoneloom.session import settle, ship_kernels, spread
@@ -23,21 +23,6 @@ INLINE_LIMIT = 5_000  # coordinates one task cuts to the end
 LEVELS_PER_ROUND = 4
 
 
-CHUNK_POINTS = 250_000  # coordinates that are cut together
-
-
-def _chunks(sizes):
-    """Runs of rows with about ``CHUNK_POINTS`` coordinates each."""
-    begin, points = 0, 0
-    for i, n in enumerate(sizes.tolist()):
-        if points and points + n > CHUNK_POINTS:
-            yield begin, i
-            begin, points = i, 0
-        points += n
-    if begin < len(sizes):
-        yield begin, len(sizes)
-
-
 def _cut_rows(xy, point_at, ring_at, rows, depth, limit: int, levels: int | None):
     """The pieces of some rows in order: ``row of each piece, depth, coordinates, Arrow rings``."""
     count = np.diff(ring_at)[rows]
@@ -90,7 +75,7 @@ def _kernel(geometry: str, limit: int, levels: int | None, extra):
         for batch in batches:
             xy, point_at, ring_at, _ = ring_arrays(batch.column(geometry))
             depth = batch.column("_depth").to_numpy(zero_copy_only=False)
-            for begin, end in _chunks(np.diff(point_at[ring_at])):
+            for begin, end in chunks(np.diff(point_at[ring_at])):
                 row, deep, size, rings = _cut_rows(
                     xy, point_at, ring_at, np.arange(begin, end), depth, limit, levels
                 )

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from zoneloom.functions import rings as R
-from zoneloom.functions.arrow_rings import map_parts, read_rings
+from zoneloom.functions.arrow_rings import chunks, repeat_rows, ring_arrays, ring_list
 from zoneloom.operators import clip, noding
+from zoneloom.operators import clip_many as many
 from zoneloom.session import settle, ship_kernels
 
 
@@ -42,12 +45,13 @@ def structural_defect(rings: Column) -> Column:
 def _flag_kernel(geometry: str):
     def kernel(batches):
         for batch in batches:
-            defect = batch.column("defect").to_pylist()
-            for i, rings in enumerate(read_rings(batch.column(geometry))):
-                if defect[i] == "none" and noding.has_crossing(noding.edges_of(rings)):
-                    defect[i] = "self crossing"
+            xy, point_at, ring_at, _ = ring_arrays(batch.column(geometry))
+            e, row = noding.edges_by_row(xy, point_at, ring_at)
             at = batch.schema.get_field_index("defect")
-            yield batch.set_column(at, "defect", pa.array(defect, pa.string()))
+            none = pc.fill_null(pc.equal(batch.column(at), "none"), False).to_numpy(zero_copy_only=False)
+            asked = none[row]
+            crossing = noding.crossing_rows(e[asked], row[asked], len(none))
+            yield batch.set_column(at, "defect", pc.if_else(pa.array(crossing), "self crossing", batch.column(at)))
 
     return kernel
 
@@ -123,24 +127,51 @@ def repair_rings(rings: Column) -> Column:
     return R.polygonal(out)
 
 
+def _repair_rows(batch, geometry: str):
+    xy, point_at, ring_at, present = ring_arrays(batch.column(geometry))
+    first, count = ring_at[:-1].copy(), np.diff(ring_at)
+    defect = np.array(batch.column("defect").to_pylist(), object)
+    repaired = batch.column("repaired").to_numpy(zero_copy_only=False).copy()
+    rings_of = lambda i: [xy[point_at[r] : point_at[r + 1]] for r in range(ring_at[i], ring_at[i + 1])]
+    changed = {}
+    for i in np.flatnonzero(noding.spiked_rows(xy, point_at, ring_at)).tolist():
+        changed[i] = [r for r in map(noding.fold, rings_of(i)) if len(r) > 3 and clip.signed_area(r) != 0]
+        repaired[i] = True
+    defect[present] = np.where(count[present] > 0, "none", "empty")
+    for i, rings in changed.items():
+        defect[i] = "none" if rings else "empty"
+    e, row = noding.edges_by_row(xy, point_at, ring_at)
+    crossing = noding.crossing_rows(e, row, len(count))
+    for i, rings in changed.items():
+        crossing[i] = noding.has_crossing(noding.edges_of(rings))
+    at = np.flatnonzero(crossing).tolist()
+    for i, whole in zip(at, noding.repaired_rows([changed[i] if i in changed else rings_of(i) for i in at]), strict=True):
+        if whole is None:
+            defect[i] = "self crossing"
+        else:
+            changed[i], repaired[i], defect[i] = whole, True, "none" if whole else "empty"
+    # new rings go behind the old ones
+    new = [ring for rings in changed.values() for ring in rings]
+    if changed:
+        rows, n = np.array(list(changed)), np.array([len(rings) for rings in changed.values()])
+        first[rows], count[rows] = len(point_at) - 1 + many.starts(n), n
+    lengths = np.concatenate([np.diff(point_at), np.array([len(r) for r in new], np.int64)])
+    ring = many.ranges(first, count)
+    inner = ring_list(np.concatenate([xy, *new])[many.ranges(many.starts(lengths)[ring], lengths[ring])], lengths[ring])
+    row_off = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
+    missing = np.concatenate([~present, [False]])
+    return repeat_rows(batch, np.arange(len(count)), {
+        geometry: pa.ListArray.from_arrays(pa.array(row_off, mask=missing), inner),
+        "repaired": pa.array(repaired, pa.bool_()), "defect": pa.array(defect, pa.string()),
+    })
+
+
 def _repair_kernel(geometry: str):
     def kernel(batches):
-        def work(i, rings, batch):
-            defect, repaired = batch.column("defect")[i].as_py(), batch.column("repaired")[i].as_py()
-            if rings is not None:
-                if any(noding.is_spiked(r) for r in rings):
-                    rings = [r for r in map(noding.fold, rings) if len(r) > 3 and clip.signed_area(r) != 0]
-                    repaired = True
-                defect = "none" if rings else "empty"
-                if rings and noding.has_crossing(noding.edges_of(rings)):
-                    whole = noding.repaired(rings)
-                    if whole is None:
-                        defect = "self crossing"
-                    else:
-                        rings, repaired, defect = whole, True, "none" if whole else "empty"
-            yield rings, {"defect": (pa.string(), defect), "repaired": (pa.bool_(), repaired)}
-
-        return map_parts(batches, geometry, work)
+        for batch in batches:
+            _, point_at, ring_at, _ = ring_arrays(batch.column(geometry))
+            for begin, end in chunks(np.diff(point_at[ring_at])):
+                yield _repair_rows(batch.slice(begin, end - begin), geometry)
 
     return kernel
 
